@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tab_line, tab_line_trailing
@@ -19,6 +19,10 @@ from .prepare import map_lines
 from .reconcile import reconcile
 from .wide_rows import MAX_LINE_BYTES, with_piece
 
+# Names up to which a table dump takes the newest cell per name and row in one
+# grouping; its cost per cell grows with the names.
+MAX_PIVOT = 32
+
 # Groups the supers of one row are first ranked in, so that ranking a row with very
 # many supers is not the work of one task.
 RANK_GROUPS = 1024
@@ -33,16 +37,34 @@ def dump_table(
     leaves no gap and a row with none of them gives no line. The name filter
     reaches the scan, and a group holds at most ``len(names)`` cells.
     """
-    wanted = sorted({spec.canonical(name) for name in names})
+    spec.require(is_super=False)
+    wanted = sorted({spec.canonical(name) for name in names}, key=spec.order_of)
+    if not wanted:
+        raise ValueError("no columns to dump")
     picked = cells.filter(spec.matches() & F.col("name").isin(wanted))
-    rows = (
-        _newest(picked, reconciled)
-        .groupBy("row_key")
-        .agg(_sorted(spec.sort_key("name").alias("name"), F.col("value")).alias("cells"))
-    )
-    return rows.select(
-        tab_line_trailing(F.col("row_key"), F.col("cells.value")).alias("value")
-    )
+    if len(wanted) > MAX_PIVOT:
+        rows = (
+            _newest(picked, spec, reconciled)
+            .groupBy("row_key")
+            .agg(
+                F.sort_array(
+                    F.collect_list(F.struct(spec.sort_key("name").alias("at"), "value"))
+                ).alias("cells")
+            )
+        )
+        values = F.col("cells.value")
+    else:
+        # The newest cell per name and the row are one grouping: one shuffle, and
+        # it combines before it.
+        newest = [
+            F.max(F.when(F.col("name") == name, F.struct("ts", "value"))).alias(f"c{i}")
+            for i, name in enumerate(wanted)
+        ]
+        rows = picked.groupBy("row_key").agg(*newest)
+        values = F.array_compact(
+            F.array(*[F.col(f"c{i}.value") for i in range(len(wanted))])
+        )
+    return rows.select(tab_line_trailing(F.col("row_key"), values).alias("value"))
 
 
 def dump_column_names(
@@ -76,7 +98,8 @@ def dump_super_map(
 ) -> DataFrame:
     """One line per super cell: ``row_key``, super, name, value. ``max_super`` keeps
     the first so many supers of each row, in name order."""
-    newest = _newest(cells.filter(spec.matches()), reconciled)
+    spec.require(is_super=True)
+    newest = _newest(cells, spec, reconciled)
     if max_super is not None:
         newest = newest.join(
             _first_supers(newest, spec, max_super), ["row_key", "super"], "left_semi"
@@ -95,17 +118,14 @@ def dump_map(
     max_line_bytes: int | None = MAX_LINE_BYTES,
 ) -> DataFrame:
     """``row_key``, tab, JSON object of the row: what ``load_map`` reads."""
-    newest = _newest(cells.filter(spec.matches()), reconciled)
+    spec.require(is_super=False)
+    newest = _newest(cells, spec, reconciled)
     rows = map_lines(newest, spec.sort_key("name"), max_line_bytes)
     return rows.select(tab_line(F.col("row_key"), F.col("json")).alias("value"))
 
 
-def _newest(cells: DataFrame, reconciled: bool) -> DataFrame:
-    return cells if reconciled else reconcile(cells)
-
-
-def _sorted(*columns: Column) -> Column:
-    return F.sort_array(F.collect_list(F.struct(*columns)))
+def _newest(cells: DataFrame, spec: FamilySpec, reconciled: bool) -> DataFrame:
+    return cells.filter(spec.matches()) if reconciled else reconcile(cells, spec)
 
 
 def _first_supers(cells: DataFrame, spec: FamilySpec, n: int) -> DataFrame:

@@ -76,7 +76,7 @@ def load_table(
     """
     if on_bad_ts not in ("now", "reject"):
         raise ValueError(f"on_bad_ts must be 'now' or 'reject', not {on_bad_ts!r}")
-    _require(spec, is_super=False)
+    spec.require(is_super=False)
     wanted = [
         None
         if name == skip_name or (i == key_field and not keep_key)
@@ -139,7 +139,7 @@ def load_columns(
 ) -> LoadResult:
     """Adjacency list: every field but the key becomes a cell *name*, whose value
     is ``fill_value``."""
-    _require(spec, is_super=False)
+    spec.require(is_super=False)
     key = F.get("fields", F.lit(key_field))
     keyed = _split(lines).select(
         "line", "fields", key.alias("row_key"), _key_reason(key).alias("line_reason")
@@ -170,7 +170,7 @@ def load_map(
 ) -> LoadResult:
     """``row_key``, tab, flat JSON object: one cell per entry. Further fields are
     ignored."""
-    _require(spec, is_super=False)
+    spec.require(is_super=False)
     parsed = _json_lines(lines, json_map)
     parsed, line_counts = _observe_lines(parsed, F.lit(False), count)
     shredded = parsed.select(
@@ -201,7 +201,7 @@ def load_super_map(
 ) -> LoadResult:
     """``row_key``, tab, JSON object of flat JSON objects: one super cell per inner
     entry. A bad super name rejects its super column, a bad inner name its cell."""
-    _require(spec, is_super=True)
+    spec.require(is_super=True)
     parsed = _json_lines(lines, json_super_map)
     parsed, line_counts = _observe_lines(parsed, F.lit(False), count)
     supers = parsed.select(
@@ -261,7 +261,7 @@ def load_super_pairs(
     """``row_key``, super name, then name and value fields in turn. A trailing name
     without a value is ignored. With ``stop_at_bad_name`` a bad long name also
     drops the pairs after it."""
-    _require(spec, is_super=True)
+    spec.require(is_super=True)
     key, super_name = F.get("fields", F.lit(0)), F.get("fields", F.lit(1))
     keyed = _split(lines).select(
         "line",
@@ -348,7 +348,7 @@ def load_key_value(
 ) -> LoadResult:
     """``row_key``, name, value triples; further fields are ignored. One cell per
     line; cells of one row meet in ``reconcile``."""
-    _require(spec, is_super=False)
+    spec.require(is_super=False)
     row_key, name, value = (F.get("fields", F.lit(i)) for i in range(3))
     shredded = _split(lines).select(
         "line",
@@ -366,12 +366,6 @@ def load_key_value(
     return _result(shredded, spec, mode, line_counts)
 
 
-def _require(spec: FamilySpec, is_super: bool) -> None:
-    if spec.is_super != is_super:
-        kind = "super" if is_super else "standard"
-        raise ValueError(f"this layout loads a {kind} family, {spec.cf} is not one")
-
-
 def _split(lines: DataFrame, collapse_tabs: bool = False) -> DataFrame:
     value = F.col("value")
     return lines.select(

@@ -50,6 +50,11 @@ class FamilySpec:
         if not self.keyspace or not self.cf:
             raise ValueError("keyspace and cf must not be empty")
 
+    def require(self, is_super: bool) -> None:
+        if self.is_super != is_super:
+            kind = "super" if is_super else "standard"
+            raise ValueError(f"{self.cf} is not a {kind} family")
+
     def matches(self) -> Column:
         return (F.col("keyspace") == self.keyspace) & (F.col("cf") == self.cf)
 
@@ -57,5 +62,9 @@ class FamilySpec:
         """A column (super or name) in the order the family sorts it."""
         return F.col(name).cast("bigint") if self.long_names else F.col(name)
 
+    def order_of(self, name: str) -> int | str:
+        return int(name) if self.long_names else name
+
     def canonical(self, name: str) -> str:
+        """A name as the family stores it."""
         return str(int(name)) if self.long_names else name
