@@ -21,7 +21,7 @@ def json_super_map(text: Column) -> Column:
 
 
 def last_entries(m: Column) -> Column:
-    """Entries of a parsed JSON map; of a repeated key only the last one.
+    """A parsed JSON map without repeated keys: of each only the last entry.
 
     ``from_json`` keeps every entry it reads. Repeats are rare, so the common case
     costs one hash set; otherwise keys are sorted with their positions and the
@@ -43,9 +43,9 @@ def last_entries(m: Column) -> Column:
             p["this"]["key"].alias("key"), F.get(values, p["this"]["at"]).alias("value")
         ),
     )
-    return F.when(
-        F.size(F.array_distinct(keys)) == F.size(keys), F.map_entries(m)
-    ).otherwise(deduplicated)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), m).otherwise(
+        F.map_from_entries(deduplicated)
+    )
 
 
 def to_json_map(entries: Column) -> Column:

@@ -26,6 +26,7 @@ def tab_line(*columns: Column) -> Column:
     return F.concat_ws(TAB, *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
 
 
-def tab_line_trailing(key: Column, items: Column) -> Column:
-    """``key`` and every item of a non-empty array, each followed by a tab."""
-    return F.concat(key, F.lit(TAB), F.array_join(items, TAB), F.lit(TAB))
+def tab_line_trailing(key: Column, *items: Column) -> Column:
+    """``key`` and every item, each followed by a tab. Items are texts, nulls left
+    out, or arrays of text; there must be at least one."""
+    return F.concat(key, F.lit(TAB), F.concat_ws(TAB, *items), F.lit(TAB))

@@ -52,7 +52,7 @@ def dump_table(
                 ).alias("cells")
             )
         )
-        values = F.col("cells.value")
+        values = [F.col("cells.value")]
     else:
         # The newest cell per name and the row are one grouping: one shuffle, and
         # it combines before it.
@@ -61,10 +61,8 @@ def dump_table(
             for i, name in enumerate(wanted)
         ]
         rows = picked.groupBy("row_key").agg(*newest)
-        values = F.array_compact(
-            F.array(*[F.col(f"c{i}.value") for i in range(len(wanted))])
-        )
-    return rows.select(tab_line_trailing(F.col("row_key"), values).alias("value"))
+        values = [F.col(f"c{i}.value") for i in range(len(wanted))]
+    return rows.select(tab_line_trailing(F.col("row_key"), *values).alias("value"))
 
 
 def dump_column_names(

@@ -5,7 +5,7 @@ into zero or more cells. All of it is row-local (one scan, one ``Generate``, no
 shuffle), so a line costs the same at any scale, and streaming lines work too.
 
 A bad line or cell becomes a reject with a reason. A line-level reject travels
-through the ``explode`` as one empty placeholder entry; the test for it reads the
+through the ``explode`` as one empty placeholder entry; the test for it reads a
 generated column, which keeps Spark from moving the filter below the ``Generate``
 and splitting or parsing each line a second time.
 """
@@ -45,7 +45,9 @@ class LoadResult:
 
     def counters(self) -> dict[str, int]:
         """Lines loaded, cells loaded, rejects, and lines whose timestamp field
-        could not be read. Available once an action has run on ``cells``."""
+        could not be read. Available once an action has run on ``cells``; exact when
+        that writes them straight out, as tasks of an inner stage that run again
+        after a loss count again."""
         if self.line_counts is None or self.cell_counts is None:
             raise ValueError("load with count=True to get counters")
         return {**self.line_counts.get, **self.cell_counts.get}
@@ -173,21 +175,19 @@ def load_map(
     spec.require(is_super=False)
     parsed = _json_lines(lines, json_map)
     parsed, line_counts = _observe_lines(parsed, F.lit(False), count)
+    rejected = F.col("line_reason")
     shredded = parsed.select(
-        "line",
-        "row_key",
-        "line_reason",
-        _explode_entries(F.col("line_reason").isNotNull(), F.col("parsed"), "string"),
+        "line", "row_key", "line_reason", _explode_map(rejected, "parsed", "string")
     ).select(
         "line",
         "row_key",
         _no_super(),
-        F.col("entry.key").alias("name"),
-        F.col("entry.value").alias("value"),
+        F.when(rejected.isNull(), F.col("key")).alias("name"),
+        F.col("entry").alias("value"),
         resolve_ts(None, load_ts).alias("ts"),
-        F.when(F.col("entry.key").isNull(), F.col("line_reason"))
-        .when(F.col("entry.value").isNull(), "null_value")
-        .alias("reason"),
+        F.when(F.col("entry").isNull(), F.coalesce(rejected, F.lit("null_value"))).alias(
+            "reason"
+        ),
     )
     return _result(shredded, spec, mode, line_counts)
 
@@ -208,44 +208,40 @@ def load_super_map(
         "line",
         "row_key",
         "line_reason",
-        _explode_entries(
-            F.col("line_reason").isNotNull(), F.col("parsed"), "map<string,string>"
-        ),
+        _explode_map(F.col("line_reason"), "parsed", "map<string,string>"),
     ).select(
         "line",
         "row_key",
-        F.col("entry.key").alias("super"),
-        F.col("entry.value").alias("inner"),
-        _canonical(F.col("entry.key"), spec).alias("super_name"),
         "line_reason",
+        F.when(F.col("line_reason").isNull(), F.col("key")).alias("super"),
+        _canonical(F.col("key"), spec).alias("super_name"),
+        last_entries(F.col("entry")).alias("inner"),
     )
-    super_reason = (
+    supers = supers.select(
+        "line",
+        "row_key",
+        F.when(
+            F.col("super").isNotNull(), F.coalesce("super_name", "super")
+        ).alias("super"),
+        "inner",
         F.when(F.col("super").isNull(), F.col("line_reason"))
         .when(F.col("inner").isNull(), "null_value")
         .when(F.col("super_name").isNull(), "bad_long_name")
+        .alias("super_reason"),
     )
-    shredded = (
-        supers.withColumn("super_reason", super_reason)
-        .select(
-            "line",
-            "row_key",
-            F.coalesce("super_name", "super").alias("super"),
-            "super_reason",
-            _explode_entries(
-                F.col("super_reason").isNotNull(), F.col("inner"), "string"
-            ),
-        )
-        .select(
-            "line",
-            "row_key",
-            "super",
-            F.col("entry.key").alias("name"),
-            F.col("entry.value").alias("value"),
-            resolve_ts(None, load_ts).alias("ts"),
-            F.when(F.col("entry.key").isNull(), F.col("super_reason"))
-            .when(F.col("entry.value").isNull(), "null_value")
-            .alias("reason"),
-        )
+    rejected = F.col("super_reason")
+    shredded = supers.select(
+        "line", "row_key", "super", "super_reason", _explode_map(rejected, "inner", "string")
+    ).select(
+        "line",
+        "row_key",
+        "super",
+        F.when(rejected.isNull(), F.col("key")).alias("name"),
+        F.col("entry").alias("value"),
+        resolve_ts(None, load_ts).alias("ts"),
+        F.when(
+            F.col("entry").isNull(), F.coalesce(rejected, F.lit("null_value"))
+        ).alias("reason"),
     )
     return _result(shredded, spec, mode, line_counts)
 
@@ -281,47 +277,32 @@ def load_super_pairs(
         ),
     )
     keyed, line_counts = _observe_lines(keyed, F.lit(False), count)
-    fields = F.col("fields")
     if stop_at_bad_name and spec.long_names:
-        # Names sit at even positions from 2 on; cut the line after the first bad
-        # one, keeping its value so that it is still reported.
-        bad_at = F.array_position(
-            F.transform(
-                fields,
-                lambda x, i: (i >= 2) & (i % 2 == 0) & parse_long(x).isNull(),
-            ),
-            F.lit(True),
-        ).cast("int")
-        fields = F.when(bad_at > 0, F.slice(fields, F.lit(1), bad_at + 1)).otherwise(
-            fields
-        )
+        keyed = _cut_after_bad_name(keyed)
     # A name field is followed by its value field, so pair every field with the
     # next one and keep the pairs that start at a name.
-    paired = F.arrays_zip(
+    fields = F.col("fields")
+    pairs = F.arrays_zip(
         fields.alias("name"), F.slice(fields, F.lit(2), F.size(fields)).alias("value")
     )
+    super_name = F.when(
+        F.col("super").isNotNull(), F.coalesce("super_name", "super")
+    ).alias("super")
     shredded = (
-        keyed.select(
+        keyed.select("line", "row_key", super_name, "line_reason", pairs.alias("pairs"))
+        .select(
             "line",
             "row_key",
-            F.coalesce("super_name", "super").alias("super"),
+            "super",
             "line_reason",
             F.posexplode(
                 F.when(
                     F.col("line_reason").isNotNull(),
                     _placeholder("struct<name:string,value:string>"),
-                ).otherwise(paired)
+                ).otherwise(F.col("pairs"))
             ).alias("at", "pair"),
         )
-        .select(
-            "line",
-            "row_key",
-            "super",
-            "at",
-            F.col("pair.name").alias("name"),
-            F.col("pair.value").alias("value"),
-            "line_reason",
-        )
+        .select("line", "row_key", "super", "at", "pair.name", "pair.value", "line_reason")
         .filter(
             F.col("name").isNull()
             | ((F.col("at") >= 2) & (F.col("at") % 2 == 0) & F.col("value").isNotNull())
@@ -382,6 +363,20 @@ def _key_reason(key: Column) -> Column:
     )
 
 
+def _cut_after_bad_name(keyed: DataFrame) -> DataFrame:
+    """Names sit at even positions from 2 on. Ends the fields after the first that
+    is no long and its value, so that this one is still reported."""
+    bad = F.transform(
+        "fields",
+        lambda x, i: (i >= 2) & (i % 2 == 0) & parse_long(x).isNull(),
+    )
+    bad_at = F.array_position(bad, F.lit(True)).cast("int")
+    cut = F.when(
+        F.col("bad_at") > 0, F.slice("fields", F.lit(1), F.col("bad_at") + 1)
+    ).otherwise(F.col("fields"))
+    return keyed.withColumn("bad_at", bad_at).withColumn("fields", cut).drop("bad_at")
+
+
 def _json_lines(lines: DataFrame, parse) -> DataFrame:
     key, text = F.get("fields", F.lit(0)), F.get("fields", F.lit(1))
     checked = _split(lines).select(
@@ -396,7 +391,7 @@ def _json_lines(lines: DataFrame, parse) -> DataFrame:
     return checked.select(
         "line",
         "row_key",
-        "parsed",
+        last_entries(F.col("parsed")).alias("parsed"),
         F.coalesce(
             "key_reason", F.when(F.col("parsed").isNull(), "bad_json")
         ).alias("line_reason"),
@@ -414,11 +409,13 @@ def _posexplode(fields: Column) -> Column:
     ).alias("at", "field")
 
 
-def _explode_entries(rejected: Column, m: Column, value_type: str) -> Column:
-    placeholder = _placeholder(f"struct<key:string,value:{value_type}>")
+def _explode_map(rejected: Column, m: str, value_type: str) -> Column:
+    """Entries of a map. Exploding the map itself, with its keys made distinct
+    beforehand, stays within generated code."""
+    placeholder = F.create_map(F.lit(""), F.lit(None).cast(value_type))
     return F.explode(
-        F.when(rejected, placeholder).otherwise(last_entries(m))
-    ).alias("entry")
+        F.when(rejected.isNotNull(), placeholder).otherwise(F.col(m))
+    ).alias("key", "entry")
 
 
 def _no_super() -> Column:

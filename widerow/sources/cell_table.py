@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reconcile import reconcile
-from ..schema import CELL_SCHEMA, FamilySpec
+from ..schema import CELL_KEY, CELL_SCHEMA, FamilySpec
 
 _PARTITIONS = ["keyspace", "cf"]
 
@@ -42,8 +42,13 @@ def scan_cells(
 
 
 def compact(spark: SparkSession, path: str, new_path: str) -> None:
-    """The current cells of every family, written to a new path. Files are sorted
-    by row and name, so that a reader can skip within them."""
-    reconcile(scan_cells(spark, path)).sortWithinPartitions(
-        "keyspace", "cf", "row_key", "super", "name"
-    ).write.mode("errorifexists").partitionBy(*_PARTITIONS).parquet(new_path)
+    """The current cells of every family, written to a new path.
+
+    Rebalancing by family keeps a small family in few files and splits a large one
+    over many. Files are sorted by row and name, so that a reader can skip in them.
+    """
+    reconcile(scan_cells(spark, path)).hint(
+        "rebalance", *_PARTITIONS
+    ).sortWithinPartitions(*CELL_KEY).write.mode("errorifexists").partitionBy(
+        *_PARTITIONS
+    ).parquet(new_path)
