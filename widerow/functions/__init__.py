@@ -1,10 +1,20 @@
-from .json_map import json_map, json_super_map, last_entries, to_json_map
+from .json_map import (
+    json_map,
+    json_member,
+    json_object,
+    json_pair,
+    json_super_map,
+    last_entries,
+)
 from .longs import bytes_to_long, long_to_bytes, parse_long, resolve_ts
 from .text import split_fields, tab_line, tab_line_trailing
 
 __all__ = [
     "bytes_to_long",
     "json_map",
+    "json_member",
+    "json_object",
+    "json_pair",
     "json_super_map",
     "last_entries",
     "long_to_bytes",
@@ -13,5 +23,4 @@ __all__ = [
     "split_fields",
     "tab_line",
     "tab_line_trailing",
-    "to_json_map",
 ]

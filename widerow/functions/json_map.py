@@ -48,7 +48,25 @@ def last_entries(m: Column) -> Column:
     )
 
 
-def to_json_map(entries: Column) -> Column:
-    """An array of (key, value) entries with distinct keys as a JSON object, in
-    the order of the array."""
-    return F.to_json(F.map_from_entries(entries))
+def json_pair(name: Column, value: Column) -> Column:
+    """``"name":"value"``, both escaped: one entry of a JSON object."""
+    return _inside(F.to_json(F.create_map(name, value)))
+
+
+def json_object(pairs: Column) -> Column:
+    """A JSON object from an array of its entries' texts, in the array's order.
+
+    Joining texts keeps a row's cost to its own entries. A map column would be
+    built by a hash table that Spark keeps for the task: once a wide row has
+    stretched it, clearing it costs every later row as much again.
+    """
+    return F.concat(F.lit("{"), F.concat_ws(",", pairs), F.lit("}"))
+
+
+def json_member(name: Column, json: Column) -> Column:
+    """``"name":`` and a JSON value: one entry of a JSON object."""
+    return F.concat(_inside(F.to_json(F.array(name))), F.lit(":"), json)
+
+
+def _inside(json: Column) -> Column:
+    return F.substring(json, F.lit(2), F.length(json) - 2)

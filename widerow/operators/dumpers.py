@@ -17,7 +17,7 @@ from ..functions import tab_line, tab_line_trailing
 from ..schema import FamilySpec
 from .prepare import map_lines
 from .reconcile import reconcile
-from .wide_rows import MAX_LINE_BYTES, with_piece
+from .wide_rows import MAX_LINE_BYTES, by_piece
 
 # Names up to which a table dump takes the newest cell per name and row in one
 # grouping; its cost per cell grows with the names.
@@ -80,7 +80,7 @@ def dump_column_names(
         named = named.distinct()
     size = F.octet_length("name") + 1
     rows = (
-        with_piece(named, size, ["name"], max_line_bytes)
+        by_piece(named, size, ["name"], max_line_bytes)
         .groupBy("row_key", "piece")
         .agg(F.sort_array(F.collect_list(spec.sort_key("name"))).alias("names"))
     )

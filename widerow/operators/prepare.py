@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import split_fields, to_json_map
-from .wide_rows import MAX_LINE_BYTES, with_piece
+from ..functions import json_member, json_object, json_pair, split_fields
+from .wide_rows import MAX_LINE_BYTES, by_piece
 
 
 def split_records(lines: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
@@ -56,24 +56,18 @@ def super_map_prepare(
     picked = _text(records, row_key=key, super=super, name=name, value=value)
     last = _last_value(picked, ["row_key", "super", "name"], order)
     size = sum(F.octet_length(c) for c in ("super", "name", "value")) + 16
-    # One shuffle serves both groupings.
-    pieces = with_piece(last, size, ["super", "name"], max_line_bytes).repartition(
-        "row_key", "piece"
-    )
+    # The one shuffle serves both groupings.
+    pieces = by_piece(last, size, ["super", "name"], max_line_bytes)
     supers = pieces.groupBy("row_key", "piece", "super").agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("name", "value")))
-        ).alias("inner")
-    )
-    rows = supers.groupBy("row_key", "piece").agg(
-        F.collect_list(F.struct("super", "inner")).alias("entries")
+        _pairs(F.col("name")).alias("pairs")
     )
-    # A map has no order of its own, so entries are compared by super alone.
-    entries = F.array_sort(
-        "entries",
-        lambda a, b: F.when(a["super"] < b["super"], -1).otherwise(1),
+    member = json_member(F.col("super"), json_object(F.col("pairs.pair")))
+    rows = (
+        supers.select("row_key", "piece", "super", member.alias("member"))
+        .groupBy("row_key", "piece")
+        .agg(F.sort_array(F.collect_list(F.struct("super", "member"))).alias("members"))
     )
-    return rows.select("row_key", to_json_map(entries).alias("json"))
+    return rows.select("row_key", json_object(F.col("members.member")).alias("json"))
 
 
 def map_lines(
@@ -84,16 +78,16 @@ def map_lines(
     size = F.octet_length("name") + F.octet_length("value") + 6
     picked = cells.select("row_key", "name", "value")
     rows = (
-        with_piece(picked, size, ["name"], max_line_bytes)
+        by_piece(picked, size, ["name"], max_line_bytes)
         .groupBy("row_key", "piece")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(sort_key.alias("at"), "name", "value"))
-            ).alias("cells")
-        )
+        .agg(_pairs(sort_key).alias("pairs"))
     )
-    entries = F.arrays_zip(F.col("cells.name"), F.col("cells.value"))
-    return rows.select("row_key", to_json_map(entries).alias("json"))
+    return rows.select("row_key", json_object(F.col("pairs.pair")).alias("json"))
+
+
+def _pairs(sort_key: Column) -> Column:
+    pair = json_pair(F.col("name"), F.col("value")).alias("pair")
+    return F.sort_array(F.collect_list(F.struct(sort_key.alias("at"), pair)))
 
 
 def _text(records: DataFrame, **columns: str) -> DataFrame:

@@ -19,18 +19,28 @@ MAX_LINE_BYTES = 64 << 20
 MAX_WIDE_ROWS = 1_000_000
 
 
-def with_piece(
+def by_piece(
     cells: DataFrame,
     cell_bytes: Column,
     spread: list[str],
     max_line_bytes: int | None = MAX_LINE_BYTES,
 ) -> DataFrame:
-    """Add ``piece``, the line of its row a cell goes to: 0 for all but wide rows.
+    """Add ``piece``, the line of its row a cell goes to (0 for all but wide rows),
+    and bring the cells of each line together for grouping.
 
     Row sizes combine before their shuffle, and only the keys of wide rows are
     broadcast, so no row is gathered in one task to be measured. Spark reuses the
-    shuffle behind ``cells`` for both reads.
+    shuffle behind ``cells`` for both reads. Cells are shuffled plain, since
+    collecting them first would only wrap each in an array of its own.
     """
+    return _with_piece(cells, cell_bytes, spread, max_line_bytes).repartition(
+        "row_key", "piece"
+    )
+
+
+def _with_piece(
+    cells: DataFrame, cell_bytes: Column, spread: list[str], max_line_bytes: int | None
+) -> DataFrame:
     if max_line_bytes is None:
         return cells.withColumn("piece", F.lit(0).cast("bigint"))
     wide = (
