@@ -99,9 +99,8 @@ def dump_super_map(
     spec.require(is_super=True)
     newest = _newest(cells, spec, reconciled)
     if max_super is not None:
-        newest = newest.join(
-            _first_supers(newest, spec, max_super), ["row_key", "super"], "left_semi"
-        )
+        first = _first_supers(cells.filter(spec.matches()), spec, max_super)
+        newest = newest.join(first, ["row_key", "super"], "left_semi")
     return newest.select(
         tab_line(*[F.col(c) for c in ("row_key", "super", "name", "value")]).alias(
             "value"

@@ -279,9 +279,10 @@ def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = load_columns(_spoiled_edges(spark, sf_dir), GRAPH_LONG, count=True)
     discard(result.cells)
     counts = result.counters()
-    return spark.createDataFrame(
-        [(counts["rows"], counts["columns"], counts["bad"])],
-        "loaded_rows bigint, loaded_columns bigint, bad_columns bigint",
+    return spark.range(1).select(
+        F.lit(counts["rows"]).cast("bigint").alias("loaded_rows"),
+        F.lit(counts["columns"]).cast("bigint").alias("loaded_columns"),
+        F.lit(counts["bad"]).cast("bigint").alias("bad_columns"),
     )
 
 
