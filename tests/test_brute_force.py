@@ -1,0 +1,231 @@
+"""Loaders and dumpers against plain Python over random input."""
+
+import json
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from widerow import (
+    CELL_SCHEMA,
+    FamilySpec,
+    dump_column_names,
+    dump_map,
+    dump_super_map,
+    dump_table,
+    load_columns,
+    load_key_value,
+    load_map,
+    load_super_map,
+    load_super_pairs,
+    load_table,
+)
+
+LT = 77
+WORDS = ["", "a", "b", "7", "07", "+7", "-3", "x y", "é", "9223372036854775808", " 4", "12"]
+
+
+def random_lines(seed, n=1500):
+    rng = random.Random(seed)
+    return ["\t".join(rng.choice(WORDS) for _ in range(rng.randint(0, 7))) for _ in range(n)]
+
+
+def split(line, pattern="\t"):
+    fields = re.split(pattern, line)
+    while len(fields) > 1 and fields[-1] == "":
+        fields.pop()
+    return [] if fields == [""] and line else fields
+
+
+def long(text):
+    if not re.fullmatch(r"[+-]?[0-9]+", text, re.ASCII):
+        return None
+    value = int(text)
+    return value if -(2**63) <= value < 2**63 else None
+
+
+def got(result, *columns):
+    return sorted(tuple(r) for r in result.cells.select(*columns).collect())
+
+
+def rejected(result):
+    return result.rejects.count()
+
+
+@pytest.mark.parametrize("key, ts", [(0, None), (1, 2), (2, 0)])
+def test_load_table(lines, key, ts):
+    texts, names = random_lines(key), ["n0", "n1", "n2", "n3"]
+    expected, bad = [], 0
+    for fields in map(split, texts):
+        if fields and (len(fields) <= key or (fields[key] == "" and len(fields) > 1)):
+            bad += 1
+            continue
+        stamp = long(fields[ts]) if ts is not None and ts < len(fields) else None
+        for i, field in enumerate(fields[:4]):
+            if i != key:
+                expected.append((fields[key], names[i], field, LT if stamp is None else stamp))
+    result = load_table(lines(*texts), FamilySpec(), names, key_field=key, ts_field=ts, load_ts=LT)
+    assert got(result, "row_key", "name", "value", "ts") == sorted(expected)
+    assert rejected(result) == bad
+
+
+def test_load_table_wide(lines):
+    texts, names = random_lines(5), ["n0", "-", "n2", "-"]
+    expected = []
+    for fields in (split(text, "\t+") for text in texts):
+        if len(fields) > 1 and fields[1]:
+            expected += [(fields[1], f"n{i}", fields[i]) for i in (0, 2) if i < len(fields)]
+    result = load_table(
+        lines(*texts), FamilySpec(), names, key_field=1, skip_name="-",
+        collapse_tabs=True, keep_key=True, drop_missing_key=True,
+    )
+    assert got(result, "row_key", "name", "value") == sorted(expected)
+    assert rejected(result) == 0
+
+
+@pytest.mark.parametrize("long_names", [False, True])
+def test_load_columns(lines, long_names):
+    texts = random_lines(6)
+    expected, bad = [], 0
+    for fields in map(split, texts):
+        if fields and fields[0] == "" and len(fields) > 1:
+            bad += 1
+            continue
+        for name in fields[1:]:
+            if long_names and long(name) is None:
+                bad += 1
+            else:
+                expected.append((fields[0], str(long(name)) if long_names else name))
+    result = load_columns(lines(*texts), FamilySpec(long_names=long_names))
+    assert got(result, "row_key", "name") == sorted(expected)
+    assert rejected(result) == bad
+
+
+@pytest.mark.parametrize("long_names, stop", [(False, False), (True, False), (True, True)])
+def test_load_super_pairs(lines, long_names, stop):
+    texts = random_lines(7)
+
+    def spell(name):
+        return long(name) if long_names else name
+
+    expected, bad = [], 0
+    for fields in map(split, texts):
+        if len(fields) < 2 or fields[0] == "" or spell(fields[1]) is None:
+            bad += 1
+            continue
+        for name, value in zip(fields[2::2], fields[3::2]):
+            if spell(name) is None:
+                bad += 1
+                if stop:
+                    break
+            else:
+                expected.append((fields[0], str(spell(fields[1])), str(spell(name)), value))
+    spec = FamilySpec(long_names=long_names, is_super=True)
+    result = load_super_pairs(lines(*texts), spec, stop_at_bad_name=stop)
+    assert got(result, "row_key", "super", "name", "value") == sorted(expected)
+    assert rejected(result) == bad
+
+
+def test_load_key_value(lines):
+    texts = random_lines(8)
+    expected, bad = [], 0
+    for line in texts:
+        key, _, rest = line.partition("\t")
+        fields = split(rest)
+        if key == "" or len(fields) < 2:
+            bad += 1
+        else:
+            expected.append((key, fields[0], fields[1]))
+    result = load_key_value(lines(*texts), FamilySpec())
+    assert got(result, "row_key", "name", "value") == sorted(expected)
+    assert rejected(result) == bad
+
+
+def json_text(rng, pairs):
+    inside = ",".join(f"{json.dumps(name)}:{value}" for name, value in pairs)
+    return "{" + inside + "}" if rng.random() < 0.9 else "{" + inside
+
+
+def test_load_map_and_super_map(lines):
+    """Repeated names keep the last entry, at both levels."""
+    rng = random.Random(9)
+    flat, nested, want_flat, want_nested, bad = [], [], [], [], 0
+    for i in range(800):
+        inner = [(rng.choice("abcd"), json.dumps(str(j))) for j in range(rng.randint(0, 6))]
+        text = json_text(rng, inner)
+        flat.append(f"r{i}\t{text}")
+        if text.endswith("}"):
+            want_flat += [(f"r{i}", k, v) for k, v in json.loads(text).items()]
+        else:
+            bad += 1
+        outer = [
+            (rng.choice("st"), "{" + ",".join(f'"{rng.choice("ab")}":"{j}"' for j in range(rng.randint(0, 4))) + "}")
+            for _ in range(rng.randint(0, 4))
+        ]
+        text = "{" + ",".join(f'"{name}":{value}' for name, value in outer) + "}"
+        nested.append(f"r{i}\t{text}")
+        want_nested += [
+            (f"r{i}", s, k, v) for s, m in json.loads(text).items() for k, v in m.items()
+        ]
+    result = load_map(lines(*flat), FamilySpec())
+    assert got(result, "row_key", "name", "value") == sorted(want_flat)
+    assert rejected(result) == bad > 0
+    result = load_super_map(lines(*nested), FamilySpec(is_super=True))
+    assert got(result, "row_key", "super", "name", "value") == sorted(want_nested)
+    assert rejected(result) == 0
+
+
+@pytest.fixture(scope="module")
+def history():
+    """Writes of few cells, a third of them to one cell."""
+    rng = random.Random(10)
+    return [
+        ("hot", "hot", f"v{rng.randint(0, 99)}", rng.randint(0, 50))
+        if i % 3 == 0
+        else (f"r{rng.randint(0, 20)}", rng.choice("abcdeé"), f"v{i % 9}", rng.randint(0, 5))
+        for i in range(3000)
+    ]
+
+
+@pytest.fixture(scope="module")
+def latest(history):
+    newest = defaultdict(dict)
+    for row, name, value, ts in history:
+        newest[row][name] = max(newest[row].get(name, (ts, value)), (ts, value))
+    return {row: {n: v for n, (_, v) in sorted(cells.items())} for row, cells in newest.items()}
+
+
+def test_dumpers(cells, history, latest):
+    spec, written = FamilySpec(), cells(*history)
+
+    def lines_of(df):
+        return sorted(r.value for r in df.collect())
+
+    assert lines_of(dump_map(written, spec)) == sorted(
+        f"{row}\t{json.dumps(c, separators=(',', ':'), ensure_ascii=False)}" for row, c in latest.items()
+    )
+    assert lines_of(dump_column_names(written, spec)) == sorted(
+        "\t".join([row, *c]) + "\t" for row, c in latest.items()
+    )
+    names = ["é", "hot", "b", "zz"]
+    expected = []
+    for row, c in latest.items():
+        values = [v for n, v in c.items() if n in names]
+        if values:
+            expected.append("\t".join([row, *values]) + "\t")
+    assert lines_of(dump_table(written, spec, names)) == sorted(expected)
+
+
+def test_dump_super_map(spark, history):
+    spec = FamilySpec(is_super=True)
+    full = [("Keyspace1", "Standard1", "row", r, n, v, ts) for r, n, v, ts in history]
+    newest = {}
+    for _, _, _, s, n, v, ts in full:
+        newest[s, n] = max(newest.get((s, n), (ts, v)), (ts, v))
+    written = spark.createDataFrame(full, CELL_SCHEMA)
+    for most in (None, 4):
+        supers = sorted({s for s, _ in newest})[:most]
+        expected = sorted(f"row\t{s}\t{n}\t{v}" for (s, n), (_, v) in newest.items() if s in supers)
+        dumped = dump_super_map(written, spec, max_super=most)
+        assert sorted(r.value for r in dumped.collect()) == expected
