@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from widerow import (
     CELL_SCHEMA,
     FamilySpec,
+    append_cells,
     dump_column_names,
     dump_map,
     dump_super_map,
@@ -18,6 +19,7 @@ from widerow import (
     map_prepare,
     merge_cells,
     reconcile,
+    scan_cells,
     split_records,
     super_map_prepare,
 )
@@ -225,6 +227,21 @@ def test_shuffles(skewed):
     assert "partial_max" in plan(reconcile(skewed, STD))
 
 
+def test_measuring_rows_reuses_the_shuffle(spark, skewed, tmp_path):
+    """Cells are shuffled once to be reconciled and once to their lines."""
+    append_cells(skewed, str(tmp_path / "cells"))
+    stored = scan_cells(spark, str(tmp_path / "cells"), STD)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (dump_map(stored, STD), dump_column_names(stored, STD)):
+            text = plan(df)
+            assert text.count("ReusedExchange") == 1
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+            assert text.count("FileScan") == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_a_load_splits_each_line_once(spark, tmp_path, lines):
     path = str(tmp_path / "in")
     lines("n\t1\t2").write.text(path)

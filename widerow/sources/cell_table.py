@@ -42,13 +42,14 @@ def scan_cells(
 
 
 def compact(spark: SparkSession, path: str, new_path: str) -> None:
-    """The current cells of every family, written to a new path.
+    """The current cells of every family, written to a new path in key order.
 
-    Rebalancing by family keeps a small family in few files and splits a large one
-    over many. Files are sorted by row and name, so that a reader can skip in them.
+    Ranges of the whole cell key split a large family or a wide row over many files
+    and keep a small family in few. The cells of a row lie together, which packs its
+    key and lets a dump combine most of a row before its shuffle.
     """
-    reconcile(scan_cells(spark, path)).hint(
-        "rebalance", *_PARTITIONS
+    reconcile(scan_cells(spark, path)).repartitionByRange(
+        *CELL_KEY
     ).sortWithinPartitions(*CELL_KEY).write.mode("errorifexists").partitionBy(
         *_PARTITIONS
     ).parquet(new_path)
