@@ -10,6 +10,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
+from widerow.plans import oracles  # noqa: E402
+from widerow.plans import queries as plans  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "customer orders lineitem events".split()
@@ -25,15 +27,20 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(plans.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_all_are_registered():
+    assert set(plans.queries()) <= set(contract.queries())
+    assert set(oracles.oracle_sql()) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query_matches_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = plans.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = sorted(tuple(r) for r in df.select(columns).collect())
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(oracles.oracle_sql()[name])
     assert sorted(d[0] for d in result.description) == columns
     order = [[d[0] for d in result.description].index(c) for c in columns]
     expected = sorted(tuple(row[i] for i in order) for row in result.fetchall())
