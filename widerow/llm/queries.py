@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import table
 from .decontaminate import decontaminate
+from .pack import pack
+from .secrets import find_secrets, named
 from .shard import interleave
 
 
@@ -32,6 +34,28 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] <= 2)
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        _sha256(named(base)).alias("base_sha256"),
+        F.array_join(named(F.col("secrets")), ",").alias("spans"),
+    )
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, ["doc_id"])
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
