@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import table
 from .decontaminate import decontaminate
+from .fingerprint import as_text, containment, fingerprints, similarity
 from .pack import pack
 from .secrets import find_secrets, named
 from .shard import interleave
+from .tokens import count_tokens
+
+# The vocabulary file of op8; any of its format will do.
+VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def _sha256(*parts: Column) -> Column:
@@ -56,6 +61,27 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, ["doc_id"])
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, changed, following = map(F.col, ("sketch", "edited_sketch", "next_sketch"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        as_text(own).alias("fingerprint"),
+        as_text(changed).alias("edited_fingerprint"),
+        containment(own, changed).alias("near_edited"),
+        containment(own, following).alias("near_next"),
+        similarity(own, changed).alias("similar_edited"),
+        similarity(own, following).alias("similar_next"),
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, VOCABULARY).drop("text")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
