@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,3 +61,46 @@ def ranked(
 def hash_order(*columns: Column) -> Column:
     """A seeded-shuffle key for ``ranked``: 62 bits of a hash."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 2)
+
+
+def remainder(key: str, divisor: int) -> Column:
+    """crc32 of the key as text, modulo a number; a null key counts as an empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(divisor))
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    kept: Column,
+    max_rows: int,
+    key: str = "doc_id",
+) -> DataFrame:
+    """``docs`` with a label (``_label``) of 0 or 1: those of about ``max_rows`` rows of
+    ``labels`` that are ``kept``, chosen by a hash of the key.
+
+    The chosen rows are broadcast, being bounded by ``max_rows``; documents aren't
+    shuffled. Rows without a key or label aren't used. A key with several labels counts
+    with each.
+    """
+    known = labels.filter(kept & F.col(key).isNotNull() & F.col(label).isin(0, 1))
+    n = known.count()
+    if n > max_rows:
+        limit = int((1 << 62) * max_rows / n)
+        known = known.filter(hash_order(F.col(key)) < limit)
+    known = known.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
+    return docs.join(F.broadcast(known), F.col(key) == F.col("_key")).drop("_key")
+
+
+def isotonic(points: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """A rising calibration curve through (raw score, number, sum of labels): neighbours
+    that fall are pooled; between the pools' middles it is linear."""
+    pools: list[list[float]] = []  # number, sum of labels, sum of raw scores
+    for x, n, y in sorted(points):
+        pools.append([n, y, x * n])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    at = np.array([p[2] / p[0] for p in pools])
+    return at, np.array([p[1] / p[0] for p in pools])

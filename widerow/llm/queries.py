@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles
-from .common import table
+from . import oracles, quality
+from .common import remainder, table
 from .decontaminate import decontaminate
 from .fingerprint import as_text, containment, fingerprints, similarity
 from .pack import pack
@@ -24,6 +24,18 @@ def _sha256(*parts: Column) -> Column:
     return F.sha2(F.concat_ws(",", *parts), 256)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", ~held_out)
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
