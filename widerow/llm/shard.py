@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh, group_key, hash_order, ranked, stored
 
-PER_BUCKET = 20_000
+PER_BUCKET = 5_000
 
 
 def interleave(
