@@ -11,6 +11,7 @@ from . import oracles, quality
 from .common import remainder, table
 from .decontaminate import decontaminate
 from .fingerprint import as_text, containment, fingerprints, similarity
+from .neardup import near_duplicates
 from .pack import pack
 from .secrets import find_secrets, named
 from .shard import interleave
@@ -94,6 +95,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, VOCABULARY).drop("text")
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
