@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracles, quality
 from .common import remainder, table
 from .decontaminate import decontaminate
+from .extract import extract
 from .fingerprint import as_text, containment, fingerprints, similarity
 from .neardup import near_duplicates
 from .pack import pack
@@ -25,6 +26,12 @@ def _sha256(*parts: Column) -> Column:
     return F.sha2(F.concat_ws(",", *parts), 256)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 4) == 2
