@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, quality
+from . import oracles, quality, toxicity
 from .common import remainder, table
 from .decontaminate import decontaminate
 from .extract import extract
@@ -26,6 +26,19 @@ def _sha256(*parts: Column) -> Column:
     return F.sha2(F.concat_ws(",", *parts), 256)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
