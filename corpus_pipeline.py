@@ -1,33 +1,80 @@
-"""A corpus cleaned and packed: the stages in order, over the documents table."""
+"""A corpus cleaned and packed: the stages in order, over the documents table.
+
+Each stage works on all rows that the stage before kept. All but the last return the
+columns of ``documents``. Rows with nulls pass unless their text says otherwise: a null or
+empty text is scored like any other, has no duplicates, windows or secrets, and is packed
+as its end mark. Extra columns of ``docs`` are dropped. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widerow.llm.common import stored, table
+from widerow.llm import quality
+from widerow.llm.common import remainder, small, stored, table
 from widerow.llm.decontaminate import decontaminate
+from widerow.llm.neardup import near_duplicates
+from widerow.llm.pack import pack
+from widerow.llm.secrets import find_secrets, redacted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+GOOD = 0.7  # least quality score
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score below ``GOOD`` go. Labels are those the classifier may
+    learn from; documents without one are scored by their text alone."""
+    docs = docs.select(COLUMNS)
+    learn = remainder("doc_id", 4) != 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", learn)
+    scored = quality.score(docs, model)
+    return scored.filter(F.col("score") >= GOOD).select(COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least id stays."""
+    docs = docs.select(COLUMNS)
+    others = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(small(others), "doc_id", "left_anti").select(COLUMNS)
 
 
 def benchmark_decontamination(
     spark: SparkSession, docs: DataFrame, sf_dir: str
 ) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"))
     return found.filter(~F.col("contaminated")).select(COLUMNS)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark, and ``n_chars`` is that of the new text."""
+    found = find_secrets(docs.select(COLUMNS))
+    some = F.size("secrets") > 0
+    text = F.when(some, redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text"))
+    n_chars = F.when(some, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumns({"text": text, "n_chars": n_chars}).select(COLUMNS)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies: sequence, offset and sequence length."""
+    return pack(docs.select(COLUMNS), ["doc_id"])
+
+
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("secret scan", secret_scan),
+    ("best-fit packing", best_fit_packing),
 ]
 
-# Classifiers and packing are iterative; SQL has neither.
+# A trained classifier and greedy packing are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))

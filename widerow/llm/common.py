@@ -104,3 +104,13 @@ def isotonic(points: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.n
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
     at = np.array([p[2] / p[0] for p in pools])
     return at, np.array([p[1] / p[0] for p in pools])
+
+
+MOST_BROADCAST = 2_000_000  # rows of a few numbers each
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, stored, and broadcast where it has few enough rows; where not, Spark picks
+    the join."""
+    df = stored(df)
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df

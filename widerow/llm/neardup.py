@@ -26,11 +26,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, stored
+from .common import fresh, small, stored
 from .components import components
 
 WORDS = 5
@@ -38,7 +38,6 @@ SHARE = 75  # per cent of the union that the intersection must be
 SYMBOLS, CHUNK, FINE = 40, 4, 512
 MOST_FINE = 165  # 3.8 standard deviations above the mean at the least likeness
 BLOCK = 1024
-MOST_BROADCAST = 2_000_000  # ids
 _RNG = np.random.default_rng(9)
 _FACTORS = _RNG.integers(1, 1 << 63, SYMBOLS + FINE, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -170,9 +169,8 @@ def _udf(function, kind):
 
 def _sets(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     """(id, set) of the documents in the pairs, one row an id."""
-    ids = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("id"))
-    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    wanted = docs.join(ids, F.col(key) == F.col("id"))
+    ids = pairs.select("a").union(pairs.select("b")).distinct().toDF("id")
+    wanted = docs.join(small(ids), F.col(key) == F.col("id"))
     packed = _udf(
         lambda texts: pa.array(
             [shingles(x or b"").tobytes() for x in texts.cast(pa.binary()).to_pylist()],
