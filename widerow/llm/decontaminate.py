@@ -13,7 +13,7 @@ shuffle; with more, what was found is stored between passes.
 
 Nulls and empty texts have no words and hit nothing, as documents and as items. Repeated
 items and documents are each reported. An item without an id marks its words as hit but
-isn't listed.
+isn't listed. Columns of the documents named like added ones are replaced.
 """
 
 from __future__ import annotations

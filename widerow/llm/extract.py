@@ -15,6 +15,7 @@ elements say is content.
 
 A null or empty page, or one without text, gives an empty text. A null URL, or one without
 a host, belongs to the host of no name. Equal pages of one host get equal texts.
+Columns of the input named like added ones are replaced.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ the containment of one text in the other, however unequal they are.
 
 A null text is an empty one: no words, an empty fingerprint. Two empty fingerprints are
 alike (1), an empty one and another are not (0). Equal texts have equal fingerprints.
+Columns of the input that are named like added or inner ones are replaced.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ _COARSE = _FINE = 256  # so that the table of buckets has 65,536 rows at most
 
 def sketch(df: DataFrame, text: str, name: str, fraction: float = FRACTION) -> DataFrame:
     """Adds the fingerprint of a text column: a sorted array of hashes."""
-    split = F.split(F.lower(F.trim(F.translate(text, "\t\n\x0b\f\r", "     "))), " +")
-    words = F.when(F.length(F.trim(F.translate(text, "\t\n\x0b\f\r", "     "))) > 0, split)
+    spaced = F.trim(F.translate(text, "\t\n\x0b\f\r", "     "))
+    words = F.when(F.length(spaced) > 0, F.split(F.lower(spaced), " +"))
     limit = int(fraction * (1 << 63))
     df = df.withColumn("_words", words)
     more = [lambda i, k=k: F.get("_words", i + k) for k in range(1, WORDS)]
@@ -71,7 +72,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(shared / total)
 
 
-def _bucketed(docs: DataFrame, key: str) -> tuple[DataFrame, int]:
+def _bucketed(docs: DataFrame, key: str) -> DataFrame:
     """Adds ``_bucket``, rising with the key (nulls first): up to ``_COARSE`` ranges with
     equally many keys each, and within each up to ``_FINE`` equally wide ones."""
     ids = docs.select(F.col(key).cast("long").alias("k"))
@@ -91,7 +92,7 @@ def _bucketed(docs: DataFrame, key: str) -> tuple[DataFrame, int]:
     return docs.withColumn("_range", ranges).withColumn(
         "_bucket",
         F.when(k.isNull(), F.lit(-1)).otherwise(F.col("_range") * fine + step).cast("long"),
-    ).drop("_range"), n
+    ).drop("_range")
 
 
 def with_next(
@@ -104,7 +105,7 @@ def with_next(
     each bucket go to the bucket before as well, so that its last row finds them.
     ``prepare`` runs on rows after the shuffle, so what it adds isn't shuffled.
     """
-    rows, _ = _bucketed(docs, key)
+    rows = _bucketed(docs, key)
     firsts = rows.groupBy("_bucket").agg(F.min(key).alias("first")).collect()
     numbers = sorted(r["_bucket"] for r in firsts)  # 65,537 at most
     before = {b: numbers[i - 1] for i, b in enumerate(numbers)}
@@ -145,8 +146,9 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, their edited texts (``edited_text``), both fingerprints
     (``sketch``, ``edited_sketch``) and that of the next document (``next_sketch``)."""
-    names = ["edited_text", "sketch", "edited_sketch", "next_sketch"]
-    rows = fresh(docs, *names, f"next_{text}").withColumn(
+    names = ["edited_text", "sketch", "edited_sketch", "next_sketch", f"next_{text}"]
+    inner = "_words _hashes _range _bucket _first _before _at _copy _to".split()
+    rows = fresh(docs, *names, *inner).withColumn(
         text, F.coalesce(F.col(text), F.lit(""))
     )
     rows = with_next(

@@ -15,7 +15,8 @@ ranked within their length in buckets (no length is ranked by one task) and look
 run in the broadcast plan.
 
 Every row has at least one piece: a null or empty text has the length of its end mark.
-Equal rows are separate items. An empty table gives no rows.
+Equal rows are separate items. An empty table gives no rows. Columns beside the identity
+aren't returned.
 """
 
 from __future__ import annotations
@@ -157,14 +158,11 @@ def pack(
     largest = max(capacities)
     tokens = byte_tokens() if length is None else F.greatest(length, F.lit(1))
     names = ["piece", "piece_start", "piece_length"]
-    pieces = fresh(docs.withColumn("_tokens", tokens.cast("long")).select(
-        *identity, "_tokens"
-    ), *names)
+    pieces = fresh(docs.select(*identity, tokens.cast("long").alias("_tokens")), *names)
     identity = [c for c in pieces.columns if c != "_tokens"]
+    last = F.expr(f"cast((_tokens - 1) div {largest} as int)")
     pieces = (
-        pieces.withColumn(
-            "piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((_tokens - 1) div {largest} as int)")))
-        )
+        pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("piece_start", F.col("piece") * F.lit(largest).cast("long"))
         .withColumn(
             "piece_length",

@@ -10,6 +10,7 @@ Training reads about ``MAX_ROWS`` labelled rows, chosen by a hash; scoring is on
 the documents without a shuffle. Without any training row every score is 1: nothing speaks
 against a text. Null and empty texts have all statistics 0 and are scored like others.
 Equal texts get equal scores.
+Columns of the input named like added ones are replaced.
 """
 
 from __future__ import annotations

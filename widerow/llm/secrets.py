@@ -14,7 +14,8 @@ in the scope, and looking at those is exact. Nothing is shuffled, the cost is li
 the parts, and all is built of Spark's own functions. Patterns start only at the edge of a
 run of their characters, so that long runs don't make them quadratic.
 
-A null text is an empty one and has no parts. Equal rows give equal results.
+A null text is an empty one and has no parts. Equal rows give equal results. A column
+named like the added one is replaced.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ ADDRESS = (
 )
 URL = r"""[a-z][a-z0-9+]{1,12}://[^\s"'<>]++"""
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[0-9+/_=-]{0,64}[A-Za-z])"
+    r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[0-9+/_=-]{0,64}[A-Za-z])"
     r"[A-Za-z0-9+/_=-]{16,}+"
 )
 
@@ -110,17 +111,33 @@ def _complements(kind: Column, other: Column) -> Column:
     return F.when(kind == 5, other.isin(1, 3, 4)).otherwise(other.isin(0, 2, 5))
 
 
+def _near(parts: Column, i: Column) -> Column:
+    """The neighbours of the part with index i, itself included."""
+    first = F.greatest(i + 1 - _NEAR, F.lit(1))
+    return F.slice(parts, first, F.lit(2 * _NEAR + 1))
+
+
+def _distinct(parts: Column) -> Column:
+    """The parts without candidates that overlap a strong part: they are that part."""
+
+    def own(p: Column, i: Column) -> Column:
+        overlapped = F.exists(
+            _near(parts, i),
+            lambda q: (q["kind"] <= 2) & (q["start"] < p["end"]) & (p["start"] < q["end"]),
+        )
+        return (p["kind"] != 5) | ~overlapped
+
+    return F.filter(parts, own)
+
+
 def _linked(parts: Column) -> Column:
     """The strong parts, and the weak ones with a complement in their scope."""
 
     def reported(p: Column, i: Column) -> Column:
-        first = F.greatest(i + 1 - _NEAR, F.lit(1))
-        near = F.slice(parts, first, F.lit(2 * _NEAR + 1))
         return (p["kind"] <= 2) | F.exists(
-            near,
+            _near(parts, i),
             lambda q: _complements(p["kind"], q["kind"])
-            & (F.abs(q["start"] - p["start"]) <= SCOPE)
-            & ~((p["kind"] == 5) & (q["kind"] == 5)),
+            & (F.abs(q["start"] - p["start"]) <= SCOPE),
         )
 
     return F.filter(parts, reported)
@@ -134,7 +151,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         "_parts",
         F.array_sort(F.concat(*(matches(whole, p, kind) for p, kind, _ in _PARTS))),
     )
-    # A candidate inside a strong part is that part again.
+    out = out.withColumn("_parts", _distinct(F.col("_parts")))
     return out.withColumn("secrets", _linked(F.col("_parts"))).drop("_parts")
 
 

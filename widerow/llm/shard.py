@@ -7,7 +7,7 @@ every shard every source in its share, and all shards row counts at most one apa
 A null source is a source of its own. Equal rows may land anywhere: their order is
 settled by all ``identity`` columns, so rows that still tie are interchangeable and a
 recomputed task gives the same shards. Nothing groups rows by their text. An empty table
-gives no rows.
+gives no rows. Columns named like added or inner ones are replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ def interleave(
     keys to plan a layout, whole rows to write it. ``identity`` names the columns that
     tell rows apart. No source is sorted by one task, whatever its share of the rows.
     """
-    keyed = fresh(docs, "shard", "slot").withColumn("_group", group_key(source))
+    inner = "_group _order _size _rank _place _all _position _bucket _before".split()
+    keyed = fresh(docs, "shard", "slot", *inner).withColumn("_group", group_key(source))
     keyed = stored(
         keyed.withColumn("_order", hash_order(F.lit(seed), "_group", *identity))
     )

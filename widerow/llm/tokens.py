@@ -12,6 +12,7 @@ whose last piece has no form with it. A word that can't be cut is one unknown pi
 
 Words repeat, so a bounded table keeps the counts of short words seen by a task; it holds
 no more than ``_KEPT`` words and changes no result. Null and empty texts have no words.
+Columns of the input named like added ones are replaced.
 """
 
 from __future__ import annotations
@@ -89,6 +90,8 @@ class LongestMatch:
 
     def count(self, word: str) -> int | None:
         """The number of pieces; None if the word can't be cut."""
+        if not word:
+            return 0
         node, pieces, follow, fail, pops = 0, 0, self.next, self.fail, self.pops
         for symbol in map(ord, word):
             while (after := follow.get(node << 9 | symbol)) is None:

@@ -20,6 +20,7 @@ The index is broadcast: it holds at most ``MAX_EXAMPLES`` vectors (in expectatio
 are chosen by a hash) of ``MAX_TERMS`` terms. Scoring is one pass without a shuffle. Null
 and empty texts have no terms. Without any example every score is 0. Equal texts get equal
 scores.
+Columns of the input named like added ones are replaced.
 """
 
 from __future__ import annotations
