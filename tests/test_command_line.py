@@ -25,7 +25,7 @@ def test_table(run, lines, capsys):
         "--ts-field", "0", "--rejects", path("bad"), path("in"), path("cells"),
     ])
     assert "rows=3 bad_ts=1 columns=6 bad=1" in capsys.readouterr().err
-    assert text("bad") == ["3"]
+    assert text("bad") == ["missing_key\t\t\t\t3"]
     dump = ["dump-table", "--ks", "k", "--cf", "c", "--col-names", "label,at"]
     main([*dump, path("cells"), path("out")])
     assert text("out") == ["u1\t2\tnew\t", "u2\tx\tb\t"]
@@ -59,6 +59,23 @@ def test_columns_and_key_value(run, lines):
     assert text("kvout") == ['r\t{"a":"1"}']
 
 
+def test_rejects_say_why(run, lines, capsys):
+    path, text = run
+    write_lines(lines("n1\tx\t5\ty"), path("in"))
+    load = ["load-columns", "--longnames", "--rejects", path("bad"), path("in"), path("cells")]
+    main(load)
+    assert text("bad") == [
+        f"bad_long_name\tn1\t\t{name}\tn1\tx\t5\ty" for name in ("x", "y")
+    ]
+    write_lines(lines("r\ta\t", "r\tb", "r\tc\t3"), path("records"))
+    main(["prepare-map", "--rejects", path("left"), path("records"), path("json")])
+    assert "bad=1" in capsys.readouterr().err
+    assert text("left") == ["bad_field_count\tr\tb"]
+    assert text("json") == ['r\t{"a":"","c":"3"}']
+    main(["prepare-map", "--rm", "--pieces", "9", path("records"), path("json")])
+    assert text("json") == ['r\t{"a":""}', 'r\t{"c":"3"}']
+
+
 def test_prepare_then_load(run, lines):
     path, text = run
     write_lines(lines("r\tt\tb\t2", "r\ts\ta\t1"), path("in"))

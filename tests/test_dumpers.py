@@ -23,7 +23,6 @@ from widerow import (
     split_records,
     super_map_prepare,
 )
-from widerow.operators import dumpers
 
 STD = FamilySpec()
 LONG = FamilySpec(long_names=True)
@@ -84,21 +83,24 @@ def row(cells):
     return cells(("r", "b", "2", 1), ("r", "a", "0", 0), ("r", "a", "1", 1), ("r", "c", "", 1))
 
 
-def test_dump_table(row, monkeypatch):
-    for pivot in (32, 0):
-        monkeypatch.setattr(dumpers, "MAX_PIVOT", pivot)
-        assert text(dump_table(row, STD, ["b", "a"])) == ["r\t1\t2\t"]
-        assert text(dump_table(row, STD, ["a", "zz"])) == ["r\t1\t"]
-        assert text(dump_table(row, STD, ["c", "b"])) == ["r\t2\t\t"]
-        assert text(dump_table(row, STD, ["zz"])) == []
-        assert text(dump_table(reconcile(row), STD, ["b", "a"], reconciled=True)) == ["r\t1\t2\t"]
+def test_dump_table(row):
+    assert text(dump_table(row, STD, ["b", "a"])) == ["r\t1\t2\t"]
+    assert text(dump_table(row, STD, ["a", "zz"])) == ["r\t1\t"]
+    assert text(dump_table(row, STD, ["c", "b"])) == ["r\t2\t\t"]
+    assert text(dump_table(row, STD, ["zz"])) == []
+    assert text(dump_table(reconcile(row), STD, ["b", "a"], reconciled=True)) == ["r\t1\t2\t"]
 
 
-def test_dump_table_long_names_in_number_order(cells, monkeypatch):
+def test_reconciled_means_the_same_for_any_number_of_names(cells):
+    rows = cells(("u", "n1", "old", 1), ("u", "n1", "new", 2))
+    for names in (["n1"], [f"n{i}" for i in range(1, 101)]):
+        assert text(dump_table(rows, STD, names)) == ["u\tnew\t"]
+        assert text(dump_table(rows, STD, names, reconciled=True)) == ["u\tnew\told\t"]
+
+
+def test_dump_table_long_names_in_number_order(cells):
     rows = cells(("r", "10", "ten", 1), ("r", "9", "nine", 1), ("r", "-2", "minus", 1))
-    for pivot in (32, 0):
-        monkeypatch.setattr(dumpers, "MAX_PIVOT", pivot)
-        assert text(dump_table(rows, LONG, ["10", "+9", "-2"])) == ["r\tminus\tnine\tten\t"]
+    assert text(dump_table(rows, LONG, ["10", "+9", "-2"])) == ["r\tminus\tnine\tten\t"]
 
 
 def test_dump_column_names(row, cells, lines):
@@ -187,57 +189,66 @@ def skewed(spark):
     )
 
 
-def test_a_wide_row_is_split_and_nothing_else(skewed):
-    limit = 2000
+def test_lines_do_not_depend_on_the_size_of_rows(skewed):
     for dump, load in ((dump_column_names, load_columns), (dump_map, load_map)):
-        lines = text(dump(skewed, STD, max_line_bytes=limit))
-        keys = [line.split("\t")[0] for line in lines]
+        assert len(text(dump(skewed, STD))) == 301
+        lines = text(dump(skewed, STD, pieces=4))
         hot = [line for line in lines if line.startswith("hot\t")]
-        assert len(hot) > 5
-        assert max(map(len, hot)) < 2 * limit
-        others = [k for k in keys if k != "hot"]
-        assert len(others) == len(set(others)) == 300
-        whole = text(dump(skewed, STD))
-        assert len(whole) == 301
-        split_again = load(dump(skewed, STD, max_line_bytes=limit), STD, load_ts=1).cells
-        assert kept(split_again, "row_key", "name") == kept(skewed, "row_key", "name")
-    names = [line.split("\t")[1:-1] for line in hot] if dump is dump_column_names else []
-    assert all(n == sorted(n) for n in names)
-
-
-def test_a_wide_super_row_is_split(skewed):
+        assert len(hot) == 4 and max(map(len, hot)) < 2 * min(map(len, hot))
+        assert sum(line.startswith("r7\t") for line in lines) in (3, 4)
+        dealt = load(dump(skewed, STD, pieces=4), STD, load_ts=1).cells
+        assert kept(dealt, "row_key", "name") == kept(skewed, "row_key", "name")
+        if dump is dump_column_names:
+            names = [line.split("\t")[1:-1] for line in hot]
+            assert all(n == sorted(n) for n in names)
+    with pytest.raises(ValueError):
+        dump_map(skewed, STD, pieces=0)
+
+
+def test_super_rows_in_pieces(skewed):
     records = skewed.withColumn("super", F.substring("name", 4, 1))
-    prepared = super_map_prepare(records, max_line_bytes=3000)
-    assert prepared.filter("row_key = 'hot'").count() > 5
+    prepared = super_map_prepare(records, pieces=5)
+    assert prepared.filter("row_key = 'hot'").count() == 5
+    assert super_map_prepare(records).count() == 301
     lines = prepared.select(F.concat_ws("\t", "row_key", "json").alias("value"))
     columns = ["row_key", "super", "name", "value"]
     assert kept(load_super_map(lines, SUP).cells, *columns) == kept(records, *columns)
 
 
+def test_empty_values_survive_a_dump_and_a_preparation(cells):
+    rows = cells(("r", "s", "a", "", 1), ("r", "s", "b", "2", 1))
+    records, rejects = split_records(dump_super_map(rows, SUP), "row_key", "super", "name", "value")
+    assert kept(records, "name", "value") == [("a", ""), ("b", "2")]
+    assert rejects.count() == 0
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_shuffles(skewed):
-    """One shuffle for a pivoted table dump and for reconcile, none for a load."""
-    assert plan(dump_table(skewed, STD, ["000001", "000002"])).count("Exchange hash") == 1
+    """One shuffle for reconcile, one more for the rows of a dump, none for a load."""
+    names = ["000001", "000002"]
+    assert plan(dump_table(skewed, STD, names)).count("Exchange hash") == 2
+    assert plan(dump_table(skewed, STD, names, reconciled=True)).count("Exchange hash") == 1
     assert plan(reconcile(skewed, STD)).count("Exchange hash") == 1
     loaded = load_columns(skewed.select(F.col("name").alias("value")), STD).cells
     assert "Exchange" not in plan(loaded)
     assert "partial_max" in plan(reconcile(skewed, STD))
 
 
-def test_measuring_rows_reuses_the_shuffle(spark, skewed, tmp_path):
-    """Cells are shuffled once to be reconciled and once to their lines."""
+def test_dumps_read_the_table_once(spark, skewed, tmp_path):
+    """Cells are shuffled once to be reconciled and once to their lines; a compacted
+    table is shuffled once."""
     append_cells(skewed, str(tmp_path / "cells"))
     stored = scan_cells(spark, str(tmp_path / "cells"), STD)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for df in (dump_map(stored, STD), dump_column_names(stored, STD)):
-            text = plan(df)
-            assert text.count("ReusedExchange") == 1
-            assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-            assert text.count("FileScan") == 1
+        for dump in (dump_map, dump_column_names):
+            for reconciled in (False, True):
+                text = plan(dump(stored, STD, reconciled=reconciled))
+                assert text.count("Exchange hash") == 2 - reconciled
+                assert text.count("FileScan") == 1 and "Join" not in text
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 

@@ -227,3 +227,28 @@ def test_layout_must_fit_the_family(lines):
         load_columns(lines("a"), SUP)
     with pytest.raises(ValueError):
         load_super_map(lines("a"), STD)
+
+
+def test_a_callers_long_name_is_read_as_strictly_as_data():
+    assert FamilySpec(long_names=True).canonical("+07") == "7"
+    for name in ("1_0", " 7 ", "", "99999999999999999999", "\u0663"):
+        with pytest.raises(ValueError):
+            FamilySpec(long_names=True).canonical(name)
+
+
+def test_a_line_without_a_key_is_left_out_before_its_timestamp_is_read(lines):
+    result = load_table(
+        lines("\tx\tbad", "k\tx\tbad"), FamilySpec(), ["k", "v", "t"], ts_field=2,
+        on_bad_ts="reject", keep_key=True, drop_missing_key=True,
+    )
+    assert [(r["reason"], r["row_key"]) for r in result.rejects.collect()] == [("bad_timestamp", "k")]
+    assert result.cells.count() == 0
+
+
+def test_checked_holds_cells_and_rejects_from_one_scan(spark, lines, tmp_path):
+    lines("n2\tx\t5").write.text(str(tmp_path / "in"))
+    result = load_columns(spark.read.text(str(tmp_path / "in")), FamilySpec(long_names=True))
+    got = sorted((r["name"], r["reason"] or "", r["line"] or "") for r in result.checked.collect())
+    assert got == [("5", "", ""), ("x", "bad_long_name", "n2\tx\t5")]
+    plan = result.checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

@@ -10,6 +10,7 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     DEFAULT_NAMES,
@@ -55,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
         "--col-names",
         type=lambda text: text.split(","),
         default=DEFAULT_NAMES,
-        help="comma separated list of column names",
+        help="names of the fields in their order, with commas between",
     )
     output = argparse.ArgumentParser(add_help=False)
     output.add_argument("--rm", action="store_true", help="overwrite the output")
@@ -69,17 +70,20 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--wide", action="store_true", help="wide table layout, '-' skips")
         load.add_argument("--failfast", action="store_true", help="stop at a bad record")
         load.add_argument("--dry-run", action="store_true", help="count, store nothing")
-        load.add_argument("--rejects", help="write rejected lines here")
+        load.add_argument("--rejects", help="write reason, key, super, name and line here")
         load.add_argument("input")
         load.add_argument("table")
     for kind in DUMPS:
         dump = commands.add_parser(f"dump-{kind}", parents=[family, output])
         dump.add_argument("--compacted", action="store_true", help="the table is compacted")
         dump.add_argument("--max-super", type=int, help="supers per row to keep")
+        dump.add_argument("--pieces", type=int, default=1, help="lines a row is dealt over")
         dump.add_argument("table")
         dump.add_argument("output")
     for kind in PREPARES:
         prepare = commands.add_parser(f"prepare-{kind}", parents=[output])
+        prepare.add_argument("--pieces", type=int, default=1, help="lines a row is dealt over")
+        prepare.add_argument("--rejects", help="write rejected lines here")
         prepare.add_argument("input")
         prepare.add_argument("output")
     compaction = commands.add_parser("compact")
@@ -126,7 +130,9 @@ def load(spark: SparkSession, kind: str, args: argparse.Namespace) -> dict[str,
         append_cells(result.cells, args.table)
     counters = result.counters()
     if args.rejects and counters["bad"]:
-        write_lines(result.rejects.select("line"), args.rejects)
+        columns = ("reason", "row_key", "super", "name", "line")
+        bad = result.rejects.select(tab_line(*map(F.col, columns)).alias("value"))
+        write_lines(bad, args.rejects)
     return counters
 
 
@@ -140,37 +146,39 @@ def dump(spark: SparkSession, kind: str, args: argparse.Namespace) -> None:
     if kind == "table":
         lines = dump_table(cells, spec, args.col_names, **done)
     elif kind == "columns":
-        lines = dump_column_names(cells, spec, **done)
+        lines = dump_column_names(cells, spec, pieces=args.pieces, **done)
     elif kind == "map":
-        lines = dump_map(cells, spec, **done)
+        lines = dump_map(cells, spec, pieces=args.pieces, **done)
     else:
         lines = dump_super_map(cells, spec, args.max_super, **done)
     write_lines(lines, args.output, overwrite=args.rm)
 
 
-def prepare(spark: SparkSession, kind: str, args: argparse.Namespace) -> None:
+def prepare(spark: SparkSession, kind: str, args: argparse.Namespace) -> dict[str, int]:
     lines = read_lines(spark, args.input)
-    if kind == "map":
-        records, _ = split_records(lines, "row_key", "name", "value")
-        prepared = map_prepare(records)
-    else:
-        records, _ = split_records(lines, "row_key", "super", "name", "value")
-        prepared = super_map_prepare(records)
+    names = ["row_key", *(["super"] if kind == "super-map" else []), "name", "value"]
+    records, rejects = split_records(lines, *names)
+    make = super_map_prepare if kind == "super-map" else map_prepare
+    prepared = make(records, pieces=args.pieces)
     out = prepared.select(tab_line(prepared["row_key"], prepared["json"]).alias("value"))
     write_lines(out, args.output, overwrite=args.rm)
+    # Reads the lines again, without a shuffle: counters within a plan that shuffles
+    # would count tasks that run twice.
+    bad = rejects.count()
+    if args.rejects and bad:
+        write_lines(rejects.select(tab_line(F.col("reason"), F.col("line")).alias("value")), args.rejects)
+    return {"bad": bad}
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"widerow {args.command}").getOrCreate()
     action, _, kind = args.command.partition("-")
-    if action == "load":
-        counters = load(spark, kind, args)
+    if action in ("load", "prepare"):
+        counters = (load if action == "load" else prepare)(spark, kind, args)
         print(" ".join(f"{name}={n}" for name, n in counters.items()), file=sys.stderr)
     elif action == "dump":
         dump(spark, kind, args)
-    elif action == "prepare":
-        prepare(spark, kind, args)
     else:
         compact(spark, args.table, args.output)
 

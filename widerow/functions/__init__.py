@@ -7,7 +7,7 @@ from .json_map import (
     last_entries,
 )
 from .longs import bytes_to_long, long_to_bytes, parse_long, resolve_ts
-from .text import split_fields, tab_line, tab_line_trailing
+from .text import split_fields, split_record, tab_line, tab_line_trailing
 
 __all__ = [
     "bytes_to_long",
@@ -21,6 +21,7 @@ __all__ = [
     "parse_long",
     "resolve_ts",
     "split_fields",
+    "split_record",
     "tab_line",
     "tab_line_trailing",
 ]

@@ -21,6 +21,11 @@ def split_fields(line: Column, collapse_tabs: bool = False) -> Column:
     )
 
 
+def split_record(line: Column) -> Column:
+    """Fields of a record, every empty one kept."""
+    return F.split(line, TAB, -1)
+
+
 def tab_line(*columns: Column) -> Column:
     """Join columns with tabs, no trailing tab. A null counts as empty text."""
     return F.concat_ws(TAB, *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])

@@ -17,11 +17,7 @@ from ..functions import tab_line, tab_line_trailing
 from ..schema import FamilySpec
 from .prepare import map_lines
 from .reconcile import reconcile
-from .wide_rows import MAX_LINE_BYTES, by_piece
-
-# Names up to which a table dump takes the newest cell per name and row in one
-# grouping; its cost per cell grows with the names.
-MAX_PIVOT = 32
+from .wide_rows import by_piece
 
 # Groups the supers of one row are first ranked in, so that ranking a row with very
 # many supers is not the work of one task.
@@ -35,54 +31,40 @@ def dump_table(
 
     Values come in name order, whatever the order of ``names``; a missing column
     leaves no gap and a row with none of them gives no line. The name filter
-    reaches the scan, and a group holds at most ``len(names)`` cells.
+    reaches the scan, and a group holds at most ``len(names)`` reconciled cells.
     """
     spec.require(is_super=False)
     wanted = sorted({spec.canonical(name) for name in names}, key=spec.order_of)
     if not wanted:
         raise ValueError("no columns to dump")
     picked = cells.filter(spec.matches() & F.col("name").isin(wanted))
-    if len(wanted) > MAX_PIVOT:
-        rows = (
-            _newest(picked, spec, reconciled)
-            .groupBy("row_key")
-            .agg(
-                F.sort_array(
-                    F.collect_list(F.struct(spec.sort_key("name").alias("at"), "value"))
-                ).alias("cells")
-            )
-        )
-        values = [F.col("cells.value")]
-    else:
-        # The newest cell per name and the row are one grouping: one shuffle, and
-        # it combines before it.
-        newest = [
-            F.max(F.when(F.col("name") == name, F.struct("ts", "value"))).alias(f"c{i}")
-            for i, name in enumerate(wanted)
-        ]
-        rows = picked.groupBy("row_key").agg(*newest)
-        values = [F.col(f"c{i}.value") for i in range(len(wanted))]
-    return rows.select(tab_line_trailing(F.col("row_key"), *values).alias("value"))
+    cell = F.struct(spec.sort_key("name").alias("at"), "value")
+    rows = (
+        _newest(picked, spec, reconciled)
+        .groupBy("row_key")
+        .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    )
+    return rows.select(
+        tab_line_trailing(F.col("row_key"), F.col("cells.value")).alias("value")
+    )
 
 
 def dump_column_names(
     cells: DataFrame,
     spec: FamilySpec,
     reconciled: bool = False,
-    max_line_bytes: int | None = MAX_LINE_BYTES,
+    pieces: int = 1,
 ) -> DataFrame:
     """``row_key`` and the name of every column, each followed by a tab, in name
     order; the columns of a super family are its supers. Neither values nor
-    timestamps are read."""
+    timestamps are read. ``pieces`` lines per row, one if not given."""
     name = F.col("super" if spec.is_super else "name").alias("name")
     named = cells.filter(spec.matches()).select("row_key", name)
     if spec.is_super or not reconciled:
         named = named.distinct()
-    size = F.octet_length("name") + 1
-    rows = (
-        by_piece(named, size, ["name"], max_line_bytes)
-        .groupBy("row_key", "piece")
-        .agg(F.sort_array(F.collect_list(spec.sort_key("name"))).alias("names"))
+    dealt, line = by_piece(named, ["name"], pieces)
+    rows = dealt.groupBy(*line).agg(
+        F.sort_array(F.collect_list(spec.sort_key("name"))).alias("names")
     )
     names = F.col("names").cast("array<string>")
     return rows.select(tab_line_trailing(F.col("row_key"), names).alias("value"))
@@ -112,12 +94,13 @@ def dump_map(
     cells: DataFrame,
     spec: FamilySpec,
     reconciled: bool = False,
-    max_line_bytes: int | None = MAX_LINE_BYTES,
+    pieces: int = 1,
 ) -> DataFrame:
-    """``row_key``, tab, JSON object of the row: what ``load_map`` reads."""
+    """``row_key``, tab, JSON object of the row: what ``load_map`` reads. ``pieces``
+    lines per row, one if not given."""
     spec.require(is_super=False)
     newest = _newest(cells, spec, reconciled)
-    rows = map_lines(newest, spec.sort_key("name"), max_line_bytes)
+    rows = map_lines(newest, spec.sort_key("name"), pieces)
     return rows.select(tab_line(F.col("row_key"), F.col("json")).alias("value"))
 
 

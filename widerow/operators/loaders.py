@@ -31,15 +31,19 @@ from ..schema import FamilySpec
 
 @dataclass(frozen=True)
 class LoadResult:
-    """``cells`` and ``rejects`` are two views of one shredded input.
-
-    Each is lazy; using both reads the input twice. With ``count=True`` an action
-    on ``cells`` also fills the counters, so that the rejects need a scan of their
-    own only when ``counters()['bad']`` is not zero.
+    """``cells`` and ``rejects`` are two views of one shredded input, ``checked`` is
+    both in one: every cell with a null ``reason``, and every reject with its reason
+    and line.
+
+    Each is lazy; ``checked`` gives both from one scan, using the other two reads the
+    input twice. With ``count=True`` an action on ``cells`` also fills the counters, so
+    that the rejects need a scan of their own only when ``counters()['bad']`` is not
+    zero.
     """
 
     cells: DataFrame
     rejects: DataFrame
+    checked: DataFrame
     line_counts: Observation | None = None
     cell_counts: Observation | None = None
 
@@ -99,7 +103,8 @@ def load_table(
     if not drop_missing_key:
         reason = _key_reason(key)
     if on_bad_ts == "reject":
-        reason = F.when(bad_ts, "bad_timestamp").otherwise(reason)
+        spoiled = bad_ts & ~no_key if drop_missing_key else bad_ts
+        reason = F.when(spoiled, "bad_timestamp").otherwise(reason)
     fields = F.col("fields")
     if drop_missing_key:
         fields = F.when(no_key, F.array().cast("array<string>")).otherwise(fields)
@@ -482,4 +487,8 @@ def _result(
     rejects = shredded.filter(F.col("reason").isNotNull()).select(
         *family, "row_key", "super", "name", "reason", "line"
     )
-    return LoadResult(cells, rejects, line_counts, cell_counts)
+    line = F.when(F.col("reason").isNotNull(), F.col("line")).alias("line")
+    checked = shredded.select(
+        *family, "row_key", "super", "name", "value", "ts", "reason", line
+    )
+    return LoadResult(cells, rejects, checked, line_counts, cell_counts)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import json_member, json_object, json_pair, split_fields
-from .wide_rows import MAX_LINE_BYTES, by_piece
+from ..functions import json_member, json_object, json_pair, split_record
+from .wide_rows import by_piece
 
 
 def split_records(lines: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
-    """Tab-separated records of exactly ``len(names)`` fields, and the lines that
-    do not have that many."""
+    """Tab-separated records of exactly ``len(names)`` fields, the last of which may
+    be empty like any other, and the lines that do not have that many."""
     split = lines.select(
-        F.col("value").alias("line"), split_fields(F.col("value")).alias("fields")
+        F.col("value").alias("line"), split_record(F.col("value")).alias("fields")
     )
     fits = F.size("fields") == len(names)
     records = split.filter(fits).select(
@@ -31,15 +31,15 @@ def map_prepare(
     name: str = "name",
     value: str = "value",
     order: str | None = None,
-    max_line_bytes: int | None = MAX_LINE_BYTES,
+    pieces: int = 1,
 ) -> DataFrame:
-    """``(row_key, json)``: one flat JSON object per key.
+    """``(row_key, json)``: one flat JSON object per key, or ``pieces`` of them.
 
     A repeated name keeps the value last by ``order``, the greatest without one.
     """
     picked = _text(records, row_key=key, name=name, value=value)
     last = _last_value(picked, ["row_key", "name"], order)
-    return map_lines(last, F.col("name"), max_line_bytes)
+    return map_lines(last, F.col("name"), pieces)
 
 
 def super_map_prepare(
@@ -49,39 +49,30 @@ def super_map_prepare(
     name: str = "name",
     value: str = "value",
     order: str | None = None,
-    max_line_bytes: int | None = MAX_LINE_BYTES,
+    pieces: int = 1,
 ) -> DataFrame:
     """``(row_key, json)``: one JSON object of flat JSON objects per key; repeated
-    names as in ``map_prepare``."""
+    names and ``pieces`` as in ``map_prepare``."""
     picked = _text(records, row_key=key, super=super, name=name, value=value)
     last = _last_value(picked, ["row_key", "super", "name"], order)
-    size = sum(F.octet_length(c) for c in ("super", "name", "value")) + 16
     # The one shuffle serves both groupings.
-    pieces = by_piece(last, size, ["super", "name"], max_line_bytes)
-    supers = pieces.groupBy("row_key", "piece", "super").agg(
-        _pairs(F.col("name")).alias("pairs")
-    )
+    dealt, line = by_piece(last, ["super", "name"], pieces)
+    supers = dealt.groupBy(*line, "super").agg(_pairs(F.col("name")).alias("pairs"))
     member = json_member(F.col("super"), json_object(F.col("pairs.pair")))
     rows = (
-        supers.select("row_key", "piece", "super", member.alias("member"))
-        .groupBy("row_key", "piece")
+        supers.select(*line, "super", member.alias("member"))
+        .groupBy(*line)
         .agg(F.sort_array(F.collect_list(F.struct("super", "member"))).alias("members"))
     )
     return rows.select("row_key", json_object(F.col("members.member")).alias("json"))
 
 
-def map_lines(
-    cells: DataFrame, sort_key: Column, max_line_bytes: int | None
-) -> DataFrame:
+def map_lines(cells: DataFrame, sort_key: Column, pieces: int) -> DataFrame:
     """``(row_key, json)`` from cells with distinct names per row, names sorted by
     ``sort_key``."""
-    size = F.octet_length("name") + F.octet_length("value") + 6
     picked = cells.select("row_key", "name", "value")
-    rows = (
-        by_piece(picked, size, ["name"], max_line_bytes)
-        .groupBy("row_key", "piece")
-        .agg(_pairs(sort_key).alias("pairs"))
-    )
+    dealt, line = by_piece(picked, ["name"], pieces)
+    rows = dealt.groupBy(*line).agg(_pairs(sort_key).alias("pairs"))
     return rows.select("row_key", json_object(F.col("pairs.pair")).alias("json"))
 
 

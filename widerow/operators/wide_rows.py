@@ -1,59 +1,28 @@
-"""Rows too wide for one line.
+"""Rows as lines.
 
-A dump writes one line per row, and a line is one Spark string, built in one task.
-A row whose text passes ``max_line_bytes`` is therefore written as several lines
-that all start with its key; its cells are dealt out by a hash of their name, so
-every cell is on exactly one of them and each line keeps name order. Every layout
-reads such lines back as the same row.
+A dump writes one line per row, and a line is one Spark string, built in one task; a
+row beyond what a string can hold fails there. For rows known to be hot, ``pieces``
+deals the cells of every row over so many lines, whatever the row's size: each line
+starts with the row's key, a cell goes by a hash of its name, and each line keeps name
+order. Every layout reads such lines back as the same row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LINE_BYTES = 64 << 20
-
-# Rows told apart as wide, widest first. This bounds the broadcast below; a row
-# beyond it holds less than a millionth of the text and is written as one line.
-MAX_WIDE_ROWS = 1_000_000
-
 
 def by_piece(
-    cells: DataFrame,
-    cell_bytes: Column,
-    spread: list[str],
-    max_line_bytes: int | None = MAX_LINE_BYTES,
-) -> DataFrame:
-    """Add ``piece``, the line of its row a cell goes to (0 for all but wide rows),
-    and bring the cells of each line together for grouping.
-
-    Row sizes combine before their shuffle, and only the keys of wide rows are
-    broadcast, so no row is gathered in one task to be measured. Spark reuses the
-    shuffle behind ``cells`` for both reads. Cells are shuffled plain, since
-    collecting them first would only wrap each in an array of its own.
-    """
-    return _with_piece(cells, cell_bytes, spread, max_line_bytes).repartition(
-        "row_key", "piece"
-    )
-
-
-def _with_piece(
-    cells: DataFrame, cell_bytes: Column, spread: list[str], max_line_bytes: int | None
-) -> DataFrame:
-    if max_line_bytes is None:
-        return cells.withColumn("piece", F.lit(0).cast("bigint"))
-    wide = (
-        cells.groupBy("row_key")
-        .agg(F.sum(cell_bytes.cast("bigint")).alias("bytes"))
-        .filter(F.col("bytes") > max_line_bytes)
-        .orderBy(F.desc("bytes"))
-        .limit(MAX_WIDE_ROWS)
-        .select("row_key", F.ceil(F.col("bytes") / max_line_bytes).alias("pieces"))
-    )
-    piece = F.pmod(F.xxhash64(*spread), F.col("pieces"))
-    return (
-        cells.join(F.broadcast(wide), "row_key", "left")
-        .withColumn("piece", F.coalesce(piece, F.lit(0)))
-        .drop("pieces")
-    )
+    cells: DataFrame, spread: list[str], pieces: int = 1
+) -> tuple[DataFrame, list[str]]:
+    """The cells of each line brought together for grouping, and the columns that tell
+    lines apart: the row and, with several ``pieces``, the piece. Cells are shuffled
+    plain, since collecting them first would only wrap each in an array of its own."""
+    if pieces < 1:
+        raise ValueError(f"pieces must be 1 or more, not {pieces}")
+    line = ["row_key"]
+    if pieces > 1:
+        line.append("piece")
+        cells = cells.withColumn("piece", F.pmod(F.xxhash64(*spread), F.lit(pieces)))
+    return cells.repartition(*line), line

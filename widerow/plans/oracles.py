@@ -254,7 +254,28 @@ def oracle_sql() -> dict[str, str]:
         "reload_map": f"""
             SELECT keyspace, cf, row_key, name, value, CAST({_LT} AS BIGINT) AS ts
             FROM ({_NEWEST_BY_TYPE})""",
-        "reload_super_map": _SUPER_EVENTS,
+        "reload_super_map": f"""
+            SELECT * REPLACE (CASE WHEN super = 'click' THEN '' ELSE value END AS value)
+            FROM ({_SUPER_EVENTS})""",
+        "overwrite_lines": """
+            SELECT c_custkey || chr(9) || c_name || chr(9) || c_mktsegment AS value
+            FROM customer""",
+        "load_table_now": f"SELECT row_key, name, value, true AS recent FROM ({_CUSTOMERS})",
+        "bad_bytes": _standard(
+            "shop.customers",
+            [("customer", "c_custkey", "'segment'", "chr(65533) || c_mktsegment", _LT)],
+        ),
+        "record_rejects": """
+            SELECT CASE WHEN event_type = 'click' THEN 'bad_field_count' ELSE '' END AS reason,
+                   user_id || chr(9) || event_type || chr(9) || epoch_us(ts)
+                   || CASE WHEN event_type = 'click' THEN ''
+                           WHEN event_type = 'view' THEN chr(9)
+                           ELSE chr(9) || event_id END AS line
+            FROM events""",
+        "dump_table_many_names": f"""
+            SELECT row_key || chr(9) || string_agg(value || chr(9), '' ORDER BY name) AS value
+            FROM ({_NEWEST_BY_TYPE}) WHERE name IN ('view', 'click', 'purchase')
+            GROUP BY row_key""",
         "long_name_bytes": """
             SELECT -l_partkey AS name,
                    CASE WHEN l_partkey = 0 THEN '0000000000000000'

@@ -167,17 +167,14 @@ def q_load_table_reject_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_field=2,
         on_bad_ts="reject",
     )
-    good = result.cells.select(
-        "row_key", "name", "value", "ts", F.lit("").alias("reason")
-    )
-    bad = result.rejects.select(
+    bad = F.col("reason").isNotNull()
+    return result.checked.select(
         "row_key",
-        F.lit("").alias("name"),
-        F.col("line").alias("value"),
-        F.lit(0).cast("bigint").alias("ts"),
-        "reason",
+        F.when(bad, "").otherwise(F.col("name")).alias("name"),
+        F.when(bad, F.col("line")).otherwise(F.col("value")).alias("value"),
+        F.when(bad, F.lit(0)).otherwise(F.col("ts")).cast("bigint").alias("ts"),
+        F.coalesce("reason", F.lit("")).alias("reason"),
     )
-    return good.unionByName(bad)
 
 
 def q_load_table_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,26 +408,81 @@ def q_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reload_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column names dumped with a line length that splits most rows, loaded again."""
+    """Column names dumped as three lines a row, loaded again."""
     cells = load_columns(_edge_lines(spark, sf_dir), GRAPH, load_ts=LOAD_TS).cells
-    dumped = dump_column_names(cells, GRAPH, max_line_bytes=20)
+    dumped = dump_column_names(cells, GRAPH, pieces=3)
     return load_columns(dumped, GRAPH, load_ts=LOAD_TS).cells.select(STANDARD)
 
 
 def q_reload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dumped = dump_map(_latest_by_type(spark, sf_dir), EVENTS, max_line_bytes=40)
+    dumped = dump_map(_latest_by_type(spark, sf_dir), EVENTS, pieces=3)
     return load_map(dumped, EVENTS, load_ts=LOAD_TS).cells.select(STANDARD)
 
 
 def q_reload_super_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Super cells dumped, prepared as split JSON lines and loaded again."""
-    dumped = dump_super_map(_super_events(spark, sf_dir), EVENTS_SUPER)
+    """Super cells, empty ones among them, dumped, prepared as split JSON lines and
+    loaded again."""
+    empty = F.when(F.col("super") == "click", "").otherwise(F.col("value"))
+    cells = _super_events(spark, sf_dir).withColumn("value", empty)
+    dumped = dump_super_map(cells, EVENTS_SUPER)
     records, _ = split_records(dumped, "row_key", "super", "name", "value")
-    prepared = super_map_prepare(records, max_line_bytes=2000)
+    prepared = super_map_prepare(records, pieces=3)
     lines = _lines(prepared, "row_key", "json")
     return load_super_map(lines, EVENTS_SUPER, load_ts=LOAD_TS).cells.select(SUPER)
 
 
+def q_overwrite_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written over others at the same path."""
+    path = shared_folder(spark)
+    write_lines(_edge_lines(spark, sf_dir), path)
+    write_lines(_customer_lines(spark, sf_dir), path, overwrite=True)
+    return read_lines(spark, path)
+
+
+def q_load_table_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load at the current time: cells, and whether that lies around now."""
+    names = ["custkey", "name", "segment"]
+    cells = load_table(_customer_lines(spark, sf_dir), CUSTOMERS, names).cells
+    now = F.unix_micros(F.current_timestamp())
+    recent = (F.col("ts") <= now) & (F.col("ts") > now - 3_600_000_000)
+    return cells.select("row_key", "name", "value", recent.alias("recent"))
+
+
+def q_bad_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer lines with a byte that is no UTF-8 before the segment, written as they
+    are and loaded."""
+    path = shared_folder(spark)
+    start = F.concat(F.col("c_custkey").cast("string"), F.lit("\t")).cast("binary")
+    line = F.concat(start, F.unhex(F.lit("FF")), F.col("c_mktsegment").cast("binary"))
+    customers = _table(spark, sf_dir, "customer").select(line.cast("string").alias("value"))
+    write_lines(customers, path)
+    cells = load_table(
+        read_lines(spark, path), CUSTOMERS, ["custkey", "segment"], load_ts=LOAD_TS
+    ).cells
+    return cells.select(STANDARD)
+
+
+def q_record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of four fields, the value empty for type view; those of type click lack
+    it and are rejected."""
+    value = F.when(F.col("event_type") == "view", "").otherwise(
+        F.col("event_id").cast("string")
+    )
+    full = tab_line(F.col("user_id"), F.col("event_type"), F.col("us"), value)
+    short = tab_line(F.col("user_id"), F.col("event_type"), F.col("us"))
+    line = F.when(F.col("event_type") == "click", short).otherwise(full)
+    lines = _events(spark, sf_dir).select(line.alias("value"))
+    records, rejects = split_records(lines, "row_key", "super", "name", "value")
+    good = records.select(tab_line(*map(F.col, records.columns)).alias("line"))
+    return good.select(F.lit("").alias("reason"), "line").unionByName(rejects)
+
+
+def q_dump_table_many_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More names than a row has columns."""
+    names = ["view", "click", "purchase", *(f"absent{i}" for i in range(97))]
+    return dump_table(_latest_by_type(spark, sf_dir), EVENTS, names)
+
+
 def q_long_name_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long names as stored bytes and back."""
     name = -F.col("l_partkey")

@@ -7,12 +7,15 @@ decimal text and compared as numbers.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+_LONG = re.compile("[+-]?[0-9]+")
+
 CELL_KEY = ["keyspace", "cf", "row_key", "super", "name"]
 
 CELL_SCHEMA = StructType(
@@ -66,5 +69,9 @@ class FamilySpec:
         return int(name) if self.long_names else name
 
     def canonical(self, name: str) -> str:
-        """A name as the family stores it."""
-        return str(int(name)) if self.long_names else name
+        """A name as the family stores it; as strict about longs as the loaders."""
+        if not self.long_names:
+            return name
+        if not _LONG.fullmatch(name) or not -(1 << 63) <= int(name) < 1 << 63:
+            raise ValueError(f"{name!r} is not a 64-bit long")
+        return str(int(name))
