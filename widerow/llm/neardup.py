@@ -38,6 +38,8 @@ SHARE = 75  # per cent of the union that the intersection must be
 SYMBOLS, CHUNK, FINE = 40, 4, 512
 MOST_FINE = 165  # 3.8 standard deviations above the mean at the least likeness
 BLOCK = 1024
+_PAIRS = 1 << 17  # looked at together
+_CELLS = 4096  # rows of blocks handled together
 _RNG = np.random.default_rng(9)
 _FACTORS = _RNG.integers(1, 1 << 63, SYMBOLS + FINE, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -107,17 +109,15 @@ def _keys(signatures: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat))
 
 
-def _alike(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Whether the fine symbols differ in few enough places."""
-    fine = [np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (a, b)]
-    x, y = (f[:, 2 * SYMBOLS :] for f in fine)
-    return (x != y).sum(1) <= MOST_FINE
+def _fine(signatures: list[bytes]) -> np.ndarray:
+    parts = b"".join(s[2 * SYMBOLS :] for s in signatures)
+    return np.frombuffer(parts, np.uint8).reshape(-1, FINE)
 
 
 def _near(a: pa.Array, b: pa.Array) -> pa.Array:
-    if not len(a):
-        return pa.array([], pa.bool_())
-    return pa.array(_alike(a.to_pylist(), b.to_pylist()))
+    """Whether the fine symbols differ in few enough places."""
+    x, y = _fine(a.to_pylist()), _fine(b.to_pylist())
+    return pa.array((x != y).sum(1) <= MOST_FINE)
 
 
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -130,37 +130,53 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def _first_common(symbols: np.ndarray, variant: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of a variant's bucket have no earlier variant in common."""
+    chunk, left_out = divmod(variant, CHUNK)
+    first = np.ones(len(i), bool)
+    if left_out:  # with that symbol equal too, the chunk's first variant is common
+        first = symbols[i, variant] != symbols[j, variant]
+    if chunk:
+        at = np.flatnonzero(first)
+        width = chunk * CHUNK
+        same = symbols[i[at], :width] == symbols[j[at], :width]
+        first[at] = (same.reshape(len(at), chunk, CHUNK).sum(2) < CHUNK - 1).all(1)
+    return first
+
+
 def _cross_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of a block (or of two) worth confirming: of different components, neither
-    the bucket's first member, in their first common bucket, not excluded by sizes or
-    signatures."""
-    ids, labels, sizes, block = (
-        group[c].to_numpy() for c in ("rep", "label", "n_shingles", "block")
+    """Pairs of blocks worth confirming: of different components, in their first common
+    bucket, not excluded by sizes or signatures. A group holds the blocks of several
+    buckets."""
+    keys, low, high, ids, labels, sizes, block = (
+        group[c].to_numpy()
+        for c in ("key", "low", "high", "rep", "label", "n_shingles", "block")
     )
-    variant = group["key"][0].as_py() >> 16 * (CHUNK - 1)
     signatures = group["signature"].to_pylist()
-    symbols = _coarse(signatures)
-    two = group["center"].to_numpy() != ids
-    crossed = group["low"][0].as_py() != group["high"][0].as_py()
-    found: list[tuple[int, int]] = []
-    for r in range(len(ids)):
-        others = two & (labels != labels[r])
-        others[: r + 1] = False
-        if crossed:
-            others &= block != block[r]
-        others &= SHARE * np.maximum(sizes, sizes[r]) <= 100 * np.minimum(sizes, sizes[r])
-        at = np.flatnonzero(others) if two[r] else others[:0].nonzero()[0]
-        if not len(at):
-            continue
-        same = (symbols[at] == symbols[r]).reshape(len(at), -1, CHUNK)
-        chunk = (same.sum(2) >= CHUNK - 1).argmax(1)
-        inside = same[np.arange(len(at)), chunk]
-        at = at[chunk * CHUNK + inside.argmin(1) == variant]
-        if len(at):
-            near = _alike([signatures[k] for k in at], [signatures[r]] * len(at))
-            found += [(ids[r], ids[k]) for k in at[near]]
-    a, b = np.array(found, np.int64).reshape(-1, 2).T
-    return pa.table({"a": a, "b": b})
+    symbols, fine = _coarse(signatures), _fine(signatures)
+    order = np.lexsort((high, low, keys))
+    cells = np.stack([keys[order], low[order], high[order]])
+    cuts = np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(0)) + 1
+    found_a, found_b = [], []
+    for run in np.split(order, cuts):
+        variant = int(keys[run[0]]) >> 16 * (CHUNK - 1)
+        crossed = low[run[0]] != high[run[0]]
+        step = max(1, _PAIRS // len(run))
+        for start in range(0, len(run), step):
+            rows = run[start : start + step, None]
+            apart = labels[rows] != labels[run]
+            apart &= np.arange(start, start + len(rows))[:, None] < np.arange(len(run))
+            if crossed:
+                apart &= block[rows] != block[run]
+            large, less = np.maximum(sizes[rows], sizes[run]), np.minimum(sizes[rows], sizes[run])
+            i, j = np.nonzero(apart & (SHARE * large <= 100 * less))
+            i, j = run[i + start], run[j]
+            first = _first_common(symbols, variant, i, j)
+            i, j = i[first], j[first]
+            near = (fine[i] != fine[j]).sum(1) <= MOST_FINE
+            found_a.append(ids[i[near]])
+            found_b.append(ids[j[near]])
+    return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
 
 def _udf(function, kind):
@@ -215,9 +231,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.min(key).alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "signature")))
     )
     classes = stored(classes)
-    links = stored(_star_links(classes, docs, key, text))
-    links = links.union(_cross_links(classes, links, docs, key, text))
+    members = stored(_members(classes))
+    links = _star_links(members, classes, docs, key, text)
     reached = components(links)
+    more = _cross_links(members, classes, reached, docs, key, text)
+    reached = components(reached.toDF("a", "b").union(more))
     found = classes.join(reached, F.col("rep") == F.col("node"), "left").select(
         "set_hash", F.coalesce("component", "rep").alias("component_id")
     )
@@ -243,9 +261,9 @@ def _signature_of(classes: DataFrame, name: str) -> DataFrame:
     return classes.select(F.col("rep").alias(name), F.col("signature").alias(f"s_{name}"))
 
 
-def _star_links(classes, docs, key, text) -> DataFrame:
+def _star_links(members, classes, docs, key, text) -> DataFrame:
     """Links between members of a bucket and its least one."""
-    pairs = _members(classes).filter(F.col("rep") != F.col("center"))
+    pairs = members.filter(F.col("rep") != F.col("center"))
     pairs = pairs.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     near = _udf(_near, T.BooleanType())
     pairs = (
@@ -257,30 +275,30 @@ def _star_links(classes, docs, key, text) -> DataFrame:
     return _confirmed(stored(pairs), docs, key, text)
 
 
-def _cross_links(classes, links, docs, key, text) -> DataFrame:
+def _cross_links(members, classes, reached, docs, key, text) -> DataFrame:
     """Links between different components within buckets, beside those to centers."""
     label = F.coalesce("component", "rep")
-    members = (
-        _members(classes)
-        .filter(F.col("n") > 2)
-        .join(components(links), F.col("rep") == F.col("node"), "left")
-        .select("key", "rep", "center", "n", label.alias("label"))
+    # The center has been compared with all, so two others are needed.
+    others = stored(
+        members.filter((F.col("n") > 2) & (F.col("rep") != F.col("center")))
+        .join(reached, F.col("rep") == F.col("node"), "left")
+        .select("key", "rep", "n", label.alias("label"))
     )
-    members = stored(members)
-    # Of the members beside the center, which has been compared with all.
-    others = F.when(F.col("rep") != F.col("center"), F.col("label"))
-    mixed = members.groupBy("key").agg(F.min(others).alias("x"), F.max(others).alias("y"))
+    mixed = others.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     mixed = mixed.filter(F.col("x") != F.col("y")).select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    blocked = (
-        members.join(mixed, "key")
-        .filter(F.col("rep") != F.col("center"))
+    blocked = stored(
+        others.join(mixed, "key")
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
         .drop("other", "n")
-        .join(classes.select("rep", "n_shingles", "signature"), "rep")
     )
-    pairs = blocked.groupBy("key", "low", "high").applyInArrow(_cross_pairs, "a long, b long")
+    groups = F.lit(blocked.count() // _CELLS + 1)
+    pairs = (
+        blocked.join(classes.select("rep", "n_shingles", "signature"), "rep")
+        .groupBy(F.pmod(F.xxhash64("key", "low", "high"), groups))
+        .applyInArrow(_cross_pairs, "a long, b long")
+    )
     return _confirmed(stored(pairs), docs, key, text)
