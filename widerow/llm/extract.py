@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, stored
 
 LEAST = 0.3
 ENOUGH = 8
@@ -189,13 +189,13 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
         F.xxhash64("block").alias("content"),
     )
     # A page counts once, however often it appears.
-    counts = (
+    counts = stored(
         each.distinct()
         .groupBy("host", "path", "content")
         .agg(F.count("*").alias("n"))
     )
     sites = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("page"))
-    sites = sites.distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    sites = stored(sites.distinct().groupBy("host").agg(F.count("*").alias("pages")))
     everywhere = sites.agg(F.sum("pages").alias("pages")).select(F.lit("*").alias("host"), "pages")
     merged = counts.groupBy("path", "content").agg(F.sum("n").alias("n"))
     merged = merged.select(F.lit("*").alias("host"), "path", "content", "n")
