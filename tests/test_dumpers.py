@@ -253,6 +253,18 @@ def test_dumps_read_the_table_once(spark, skewed, tmp_path):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_first_supers_shred_the_input_once(spark, tmp_path, lines):
+    lines('r\t{"s":{"a":"1"},"t":{"a":"2"}}').write.text(str(tmp_path / "in"))
+    loaded = load_super_map(spark.read.text(str(tmp_path / "in")), SUP, load_ts=1).cells
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(dump_super_map(loaded, SUP, max_super=1))
+        assert text.count("FileScan") == text.count("ReusedExchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r.value for r in dump_super_map(loaded, SUP, max_super=1).collect()] == ["r\ts\ta\t1"]
+
+
 def test_a_load_splits_each_line_once(spark, tmp_path, lines):
     path = str(tmp_path / "in")
     lines("n\t1\t2").write.text(path)

@@ -81,7 +81,13 @@ def dump_super_map(
     spec.require(is_super=True)
     newest = _newest(cells, spec, reconciled)
     if max_super is not None:
-        first = _first_supers(cells.filter(spec.matches()), spec, max_super)
+        newest = newest.filter(F.col("row_key").isNotNull() & F.col("super").isNotNull())
+        if not reconciled:
+            # True of any timestamp. It keeps the newest cell in both plans below, which
+            # so have the same shuffle, and Spark reuses that; without it the input
+            # would be shredded a second time for the supers alone.
+            newest = newest.filter(F.coalesce("ts", F.lit(0)) >= F.lit(-(1 << 63)))
+        first = _first_supers(newest, spec, max_super)
         newest = newest.join(first, ["row_key", "super"], "left_semi")
     return newest.select(
         tab_line(*[F.col(c) for c in ("row_key", "super", "name", "value")]).alias(
