@@ -12,9 +12,10 @@ meets in one with a chance above 0.999998.)
 
 Pairs in a bucket aren't all emitted. First every member is compared with the bucket's
 least member; most groups of copies become one component. Then buckets that still hold
-several components, in blocks of bounded size, emit pairs of different components that the
-longer signature can't exclude, each pair in its first common bucket only. Every pair is
-confirmed on the full sets: 100 * intersection >= 75 * union.
+several components, in blocks of bounded size, emit pairs of different components, each
+pair in its first common bucket only. Pairs that the longer signature excludes are left
+out (of linked pairs fewer than one in 100,000, and those only where they barely are). All
+others are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Documents without words, or with a null text, have an empty set, link with nothing and are
 kept. A row with a null id links with nothing. Rows that repeat an id are one document for
@@ -36,7 +37,7 @@ from .components import components
 WORDS = 5
 SHARE = 75  # per cent of the union that the intersection must be
 SYMBOLS, CHUNK, FINE = 40, 4, 512
-MOST_FINE = 165  # 3.8 standard deviations above the mean at the least likeness
+MOST_FINE = 170  # 4.3 standard deviations above the mean at the least likeness
 BLOCK = 1024
 _PAIRS = 1 << 17  # looked at together
 _CELLS = 4096  # rows of blocks handled together
