@@ -271,4 +271,5 @@ def test_a_load_splits_each_line_once(spark, tmp_path, lines):
     for spec in (STD, LONG):
         loaded = load_columns(spark.read.text(path), spec).cells
         assert plan(loaded).count("split(") == 1
+        assert plan(loaded).count("try_cast(") == spec.long_names
     assert plan(load_map(spark.read.text(path), STD).cells).count("from_json(") <= 1

@@ -460,7 +460,10 @@ def _result(
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"mode must be 'permissive' or 'failfast', not {mode!r}")
     if spec.long_names and parse_names:
-        shredded = shredded.withColumn("long_name", _canonical(F.col("name"), spec))
+        # A generated column is parsed once; a projected one would be copied into the
+        # filter on the reason and parsed there again.
+        parsed = F.explode(F.array(_canonical(F.col("name"), spec)))
+        shredded = shredded.select("*", parsed.alias("long_name"))
         shredded = shredded.withColumn(
             "reason",
             F.coalesce(
