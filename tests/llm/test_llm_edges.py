@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from widerow.llm import quality, toxicity  # noqa: E402
 from widerow.llm.decontaminate import decontaminate  # noqa: E402
-from widerow.llm.extract import extract  # noqa: E402
+from widerow.llm.extract import blocks, extract  # noqa: E402
 from widerow.llm.fingerprint import containment, fingerprints  # noqa: E402
 from widerow.llm.neardup import near_duplicates  # noqa: E402
 from widerow.llm.pack import pack  # noqa: E402
@@ -175,6 +175,18 @@ def test_extract(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def test_blocks():
+    page = (
+        "<body class='widget'><header>Site</header><div class='has-sidebar'>"
+        "<article class=post><div class=article-header><h1>Title</h1></div><p>One<p>Two "
+        "<b>bold</b><br>more<ul><li>x<li>y</ul><aside>a</aside><div id=related>r</div>"
+        "<table><tr><td>1<td>2</table><form>f</form></article>"
+        "<section class=comments><article class=comment><p>c</p></article></section></div>"
+    )
+    assert [t for _, t in blocks(page)] == ["Title", "One", "Two bold more", "x", "y", "1", "2"]
+    assert blocks(page)[1][0] == "/html/body/div/article.post/p"[5:]
+
+
 def test_pipeline_stages(spark, docs, none, labels, items, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")

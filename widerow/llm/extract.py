@@ -76,13 +76,15 @@ _ATTRIBUTE = re.compile(
     re.I,
 )
 _NAME = re.compile(r"[a-z]+")
+_ABOUT_OTHERS = re.compile(r"(?<![\w-])(?:has|no|with|without)[-_][\w-]*")
 
 
 def _names(attributes: str) -> tuple[str, set[str]]:
     """The class as part of a style name, and all words of class, id and role."""
     style, words = "", set()
     for m in _ATTRIBUTE.finditer(attributes):
-        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        kind = m[1].lower()
+        value = _ABOUT_OTHERS.sub(" ", (m[2] or m[3] or m[4] or "").lower())
         if kind == "hidden":
             words.add("modal")
         found = _NAME.findall(value)
