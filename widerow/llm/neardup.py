@@ -200,7 +200,9 @@ def _sets(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs (a, b) of class representatives whose full sets are linked."""
-    sets = stored(_sets(docs, key, text, pairs).dropDuplicates(["id"]))
+    # An id with several texts stands for one of them, the same each time.
+    sets = _sets(docs, key, text, pairs).groupBy("id").agg(F.max("set").alias("set"))
+    sets = stored(sets)
     linked = _udf(_linked, T.BooleanType())
     return (
         pairs.join(sets.toDF("a", "set_a"), "a")
