@@ -188,7 +188,8 @@ def test_blocks():
 
 
 def test_pipeline_stages(spark, docs, none, labels, items, tmp_path):
-    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    good = labels.withColumn("quality", F.lit(1))  # so that documents are left
+    good.write.parquet(f"{tmp_path}/labels.parquet")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame(ROWS, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     for given in (docs, none):
