@@ -33,6 +33,7 @@ from .common import fresh, stored
 LEAST = 0.3
 ENOUGH = 8
 DEPTH = 32
+MOST_BROADCAST = 32 << 20  # bytes of removed nodes of all hosts
 
 # Fixed values of HTML and of usual class names, in alphabetical order.
 _INLINE = set(
@@ -250,7 +251,10 @@ def _texts(pages: pa.Array, removed: pa.Array) -> pa.Array:
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """The pages with ``text``: the blocks left by the tree, one a line."""
-    removed = _removed(style_tree(pages, html, url))
+    removed = stored(_removed(style_tree(pages, html, url)))
+    size = F.octet_length("_host") + F.octet_length(F.array_join("removed", "")) + 64
+    if (removed.agg(F.sum(size)).first()[0] or 0) <= MOST_BROADCAST:
+        removed = F.broadcast(removed)  # else Spark joins by host and splits hot ones
     text = F.arrow_udf(_texts, T.StringType())
     out = fresh(pages, "text", "_host", "removed").withColumn("_host", host_of(F.col(url)))
     kept = [c for c in out.columns if c != "_host"]
