@@ -103,6 +103,27 @@ def test_index_is_exact():
         assert [s for s, _ in index.nearest(query, 10, without=k)] == pytest.approx(best, abs=1e-8)
 
 
+def test_rare_words_count_and_every_text_has_neighbours(spark):
+    rng = random.Random(3)
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = rng.sample(plain, 40)
+        if i < 20:  # five marks, each in four toxic examples
+            words.insert(20, "mark" + "abcde"[i % 5])
+        rows.append((i, " ".join(words), int(i < 20)))
+    rows += [(200 + i, " ".join([*rng.sample(plain, 30), "mark" + "abcde"[i]]), None) for i in range(5)]
+    rows += [(300 + i, " ".join(rng.sample(plain, 30)), None) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df.select("doc_id", "toxic"), "toxic", df["doc_id"] < 200)
+    got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    for i in range(5):
+        assert got[200 + i]["score"] >= 0.5
+        assert {e["id"] % 5 for e in got[200 + i]["evidence"]} == {i}
+    assert all(got[300 + i]["score"] < 0.5 for i in range(20))
+    assert all(len(r["evidence"]) == toxicity.EVIDENCE for r in got.values())
+
+
 def test_isotonic():
     at, to = isotonic([(0.0, 2, 1), (1.0, 2, 0), (2.0, 1, 1), (3.0, 4, 4)])
     assert list(to) == [0.25, 1.0] and list(at) == [0.5, 2.8]

@@ -2,22 +2,26 @@
 
 Examples are a bounded sample of labelled documents. Groups of copies among them are
 reduced to few, lest a copied text's rare words pass for marks of its label: of examples
-that share a minimum hash of their word runs one is kept. Terms are words whose presence
-depends on the label (chi-square of at least ``LEAST_CHI2``), at most ``MAX_TERMS``; an
-example's vector is its TF-IDF over the terms, of length 1.
-
-The index is inverted: of each term the blocks of examples that hold it, with the greatest
-weight in each block and the postings. A text adds up, block by block, what its terms could
-at most contribute, takes blocks by that bound, scores them exactly and stops when no
-block left can beat its ``NEIGHBOURS`` best. The result is that of scoring all examples.
+that share a minimum hash of their word runs one is kept. A vector is the TF-IDF over all
+words of its text, of length 1. Words that depend on the label weigh more: with G the
+log-likelihood ratio of word and label, a word's weight is (G / (G + ``DOUBT``))^2 and
+``LEAST_WEIGHT`` on top, so that none is left out and long neutral texts aren't nearest to
+each other by chance. Words of no example have the least weight.
+
+The index is inverted: of each word the examples that hold it, and its greatest weight in
+each block of examples. A text adds up its words, common ones and then those that can
+contribute most, until what the others can add is little; then their greatest weights by block tell which
+examples can still be among its ``NEIGHBOURS`` best, and those are scored exactly. The
+result is that of scoring all examples.
 
 Neighbours vote with weights that fall with their distance. A rising curve, fitted on the
 examples' own votes with each left out of its own, turns votes into the share of toxic
-documents. A text without any of the terms has no neighbours and gets the share among such
-examples. The nearest examples are the evidence.
+documents. The nearest examples are the evidence.
 
 The index is broadcast: it holds at most ``MAX_EXAMPLES`` vectors (in expectation, as rows
-are chosen by a hash) of ``MAX_TERMS`` terms. Scoring is one pass without a shuffle. Null
+are chosen by a hash). Scoring is one pass without a shuffle; the examples' own votes are
+taken in tasks, too. A text without a word of any example has no neighbours, and its vote is
+the average example's. Null
 and empty texts have no terms. Without any example every score is 0. Equal texts get equal
 scores.
 Columns of the input named like added ones are replaced.
@@ -25,22 +29,24 @@ Columns of the input named like added ones are replaced.
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh, isotonic, labelled_sample, stored
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 512
-LEAST_CHI2 = 40.0
-LEAST_DOCS = 6
+DOUBT = 10.0  # log-likelihood ratio at which a word has a quarter of the full weight
+LEAST_WEIGHT = 0.01
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
@@ -48,6 +54,10 @@ PRIOR = 1.0  # votes of the average example added to each vote
 _NEAREST = 0.05  # distances below count as this
 _WORD = re.compile(r"[^\W\d_]+")
 _KINDS = 3  # minimum hashes by which copies are found
+_HEADS = 8  # heaviest words by which examples are put in order
+_LITTLE = 0.5  # of the worst neighbour's score: what the words left may add
+_COMMON = 8  # words held by one example in so many have a whole row instead of a list
+_SLACK = 1e-5  # above the rounding errors of sums in single precision
 
 
 def words_of(text: str) -> list[str]:
@@ -63,59 +73,183 @@ def least_hashes(words: list[str]) -> list[int]:
     ]
 
 
+def _spans(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all entries of the lists ``at``, and the lists' lengths."""
+    first, sizes = starts[at], starts[at + 1] - starts[at]
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(first - before, sizes), sizes
+
+
+def head_order(starts, terms, weights) -> np.ndarray:
+    """The vectors' order in the index: those alike in their heaviest terms share blocks,
+    so that bounds are tight."""
+    n = len(starts) - 1
+    rows = np.repeat(np.arange(n), np.diff(starts))
+    by = np.lexsort((terms, -weights, rows))
+    rank = np.arange(len(rows)) - starts[rows]
+    heads = np.full((n, _HEADS), terms.max(initial=-1) + 1)
+    head = rank < _HEADS
+    heads[rows[head], rank[head]] = terms[by][head]
+    return np.lexsort((np.arange(n), *heads.T[::-1]))
+
+
 class Index:
     """A block-max inverted index of unit vectors {term: weight}."""
 
     def __init__(self, vectors: list[dict[int, float]], block: int = BLOCK):
-        # Vectors alike in their heaviest terms share blocks, so that bounds are tight.
-        def weight_order(k: int) -> list[int]:
-            return sorted(vectors[k], key=lambda t: (-vectors[k][t], t))
-
-        self.ids = sorted(range(len(vectors)), key=lambda k: (weight_order(k), k))
-        self.block = block
-        self.greatest: dict[int, dict[int, float]] = {}  # term: block: weight
-        self.postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, k in enumerate(self.ids):
-            at = place // block
-            for term, weight in vectors[k].items():
-                blocks = self.greatest.setdefault(term, {})
-                blocks[at] = max(blocks.get(at, 0.0), weight)
-                self.postings.setdefault((term, at), []).append((place, weight))
+        starts = np.cumsum([0, *map(len, vectors)])
+        terms = np.fromiter((t for v in vectors for t in v), np.int64, starts[-1])
+        weights = np.fromiter((w for v in vectors for w in v.values()), float, starts[-1])
+        self._build(starts, terms, weights, block)
+
+    def _build(self, starts, terms, weights, block) -> None:
+        order = head_order(starts, terms, weights)
+        found, sizes = _spans(starts, order)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        self._post(order, starts, terms[found], weights[found], block)
+
+    @classmethod
+    def ordered(cls, ids, starts, terms, weights, block: int = BLOCK) -> Index:
+        """Of vectors already in the index's order, ids being their names."""
+        index = cls.__new__(cls)
+        index._post(ids, starts, terms, weights, block)
+        return index
+
+    def _post(self, ids, starts, terms, weights, block) -> None:
+        n, self.size, self.block = len(starts) - 1, int(terms.max(initial=-1)) + 1, block
+        self.ids, self.place = ids, np.argsort(ids)
+        self.starts, self.terms, self.weights = starts, terms.astype(np.int32), weights
+        rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
+        by = np.argsort(self.terms, kind="stable")
+        held, rows, weights = self.terms[by], rows[by], weights[by]
+        self.lists = np.searchsorted(held, np.arange(self.size + 1))
+        self.places, self.posted = rows.astype(np.int32), weights.astype(np.float32)
+        common = np.flatnonzero(np.diff(self.lists) * _COMMON > n)
+        self.row_of = np.full(self.size, -1)
+        self.row_of[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n), np.float32)
+        at = self.row_of[held]
+        self.rows[at[at >= 0], rows[at >= 0]] = weights[at >= 0]
+        new = np.ones(len(by), bool)
+        new[1:] = (held[1:] != held[:-1]) | (rows[1:] // block != rows[:-1] // block)
+        first = np.flatnonzero(new)
+        self.block_lists = np.searchsorted(held[first], np.arange(self.size + 1))
+        self.blocks = (rows[first] // block).astype(np.int32)
+        self.greatest = np.maximum.reduceat(weights, first) if len(first) else weights
+        self.most = np.zeros(self.size)
+        np.maximum.at(self.most, held[first], self.greatest)
 
     def nearest(
         self, query: dict[int, float], k: int, without: int | None = None
     ) -> list[tuple[float, int]]:
         """The k best (cosine, vector) with a cosine above 0, best first, of equal ones
         those first in the index."""
-        bounds: dict[int, float] = {}
-        for term, weight in query.items():
-            for at, most in self.greatest.get(term, {}).items():
-                bounds[at] = bounds.get(at, 0.0) + weight * most
-        best: list[tuple[float, int]] = []  # (-cosine, place), sorted
-        for at, bound in sorted(bounds.items(), key=lambda b: (-b[1], b[0])):
-            if len(best) == k and bound < -best[-1][0] - 1e-9:
-                break
-            scores: dict[int, float] = {}
-            for term, weight in query.items():
-                for place, other in self.postings.get((term, at), ()):
-                    scores[place] = scores.get(place, 0.0) + weight * other
-            found = [(-round(s, 9), p) for p, s in scores.items() if self.ids[p] != without]
-            best = sorted([*best, *found])[:k]
-        return [(-s, self.ids[p]) for s, p in best]
+        size = len(query)
+        terms = np.fromiter(query, np.int64, size)
+        return self.search(terms, np.fromiter(query.values(), float, size), k, without)
 
+    def search(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | None = None
+    ) -> list[tuple[float, int]]:
+        """``nearest`` of a query given as arrays."""
+        known = terms < self.size
+        asked, asked_weights = terms, weights = terms[known], weights[known]
+        n = len(self.ids)
+        row = self.row_of[terms]
+        query = np.zeros(len(self.rows), np.float32)
+        query[row[row >= 0]] = weights[row >= 0]
+        scores = query @ self.rows
+        if without is not None:
+            scores[self.place[without]] = -np.inf
+        terms, weights = terms[row < 0], weights[row < 0]
+        most = weights * self.most[terms]
+        by = np.lexsort((terms, -most))
+        terms, weights, most = terms[by], weights[by], most[by]
+        left = np.cumsum(most[::-1])[::-1]  # what this term and those after it can add
+        at, step, worst = 0, 16, 0.0
+        while at < len(terms) and (not at or left[at] > _LITTLE * worst):
+            now = slice(at, at + step)
+            found, sizes = _spans(self.lists, terms[now])
+            added = np.repeat(weights[now], sizes) * self.posted[found]
+            scores += np.bincount(self.places[found], added, n).astype(np.float32)
+            at, step = at + len(sizes), 4 * step
+            worst = max(0.0, np.partition(scores, n - k)[n - k]) if n >= k else 0.0
+        if not len(terms) and n >= k:
+            worst = max(0.0, np.partition(scores, n - k)[n - k])
+        if at < len(terms):
+            found, sizes = _spans(self.block_lists, terms[at:])
+            added = np.repeat(weights[at:], sizes) * self.greatest[found]
+            bounds = np.bincount(self.blocks[found], added, -(-n // self.block))
+            scores += np.repeat(bounds, self.block)[:n].astype(np.float32)
+        able = np.flatnonzero((scores > 0) & (scores >= worst - _SLACK))
+        found, sizes = _spans(self.starts, able)
+        if "_dense" not in self.__dict__:
+            self._dense = np.zeros(self.size)
+        dense = self._dense
+        dense[asked] = asked_weights
+        rows = np.repeat(np.arange(len(able)), sizes)
+        exact = np.bincount(rows, dense[self.terms[found]] * self.weights[found], len(able))
+        dense[asked] = 0.0
+        able, exact = able[exact > 0], np.round(exact[exact > 0], 9)
+        best = np.lexsort((able, -exact))[:k]
+        return [(float(s), int(p)) for s, p in zip(exact[best], self.ids[able[best]])]
 
 class Model:
-    """Terms, index, examples' ids and labels, and the curve."""
+    """Examples' ids and labels, their words' counts and weights, and the curve.
 
-    def __init__(self, terms, idf, vectors, ids, labels, at, to, alone):
-        self.terms = {t: k for k, t in enumerate(terms)}
-        self.idf, self.ids, self.labels = idf, ids, labels
-        self.index = Index(vectors)
-        self.at, self.to, self.alone = at, to, alone
-        self.average = float(np.mean(labels)) if len(labels) else 0.0
+    What tasks need of the examples is broadcast once, packed; each Python worker makes
+    its index of it once."""
 
-    def vector(self, counts: dict[str, int]) -> dict[int, float]:
-        return unit(counts, self.terms, self.idf)
+    def __init__(self, names, weights, unknown, ids, labels, order, starts, terms, counts):
+        self.labels = labels
+        self.average = float(np.mean(labels)) if len(labels) else 0.0
+        self.at, self.to = [0.0, 1.0], [0.0, 1.0]
+        self.parts = (names, weights, unknown, ids, order, starts, terms, counts)
+
+    def broadcast(self, spark: SparkSession) -> None:
+        packed = zlib.compress(pickle.dumps(self.parts, protocol=5), 1)
+        self.key = xxhash.xxh3_128_hexdigest(packed)
+        self.parts = spark.sparkContext.broadcast(packed)
+
+    def ready(self) -> Model:
+        """Itself, with words and index."""
+        if "index" not in self.__dict__:
+            if _MADE.get("key") != self.key:
+                made = pickle.loads(zlib.decompress(self.parts.value))
+                names, weights, unknown, ids, order, starts, terms, counts = made
+                raw = raw_weights(counts) * weights[terms]
+                sizes = np.diff(starts)
+                of = np.repeat(np.arange(len(ids)), sizes)
+                raw /= np.sqrt(np.bincount(of, raw * raw, len(ids)))[of]
+                index = Index.ordered(order, starts, terms, raw)
+                words = {t: k for k, t in enumerate(names)}
+                _MADE.update(key=self.key, all=(words, weights, unknown, ids, index))
+            self.terms, self.weights, self.unknown, self.ids, self.index = _MADE["all"]
+        return self
+
+    def __getstate__(self) -> dict:
+        names = ("labels", "average", "at", "to", "parts", "key")
+        return {k: self.__dict__[k] for k in names}
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The text's words among the examples' and their weights, at length 1 together
+        with the words that no example holds."""
+        at = np.fromiter((self.terms.get(w, -1) for w in counts), np.int64, len(counts))
+        raw = raw_weights(np.fromiter(counts.values(), float, len(counts)))
+        raw *= np.where(at >= 0, self.weights[at], self.unknown) if len(self.terms) else 1.0
+        size = np.sqrt((raw * raw).sum())
+        return at[at >= 0], raw[at >= 0] / size
+
+    def near(self, counts: dict[str, int]) -> list[tuple[float, int]]:
+        if not counts or not self.terms:
+            return []
+        return self.index.search(*self.vector(counts), NEIGHBOURS)
+
+    def near_example(self, k: int) -> list[tuple[float, int]]:
+        """The neighbours of an example, but for itself."""
+        own = slice(*self.index.starts[self.index.place[k] + [0, 1]])
+        terms, weights = self.index.terms[own].astype(np.int64), self.index.weights[own]
+        return self.index.search(terms, weights, NEIGHBOURS, without=k)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weights = [1 / max(_NEAREST, 1 - cosine) for cosine, _ in near]
@@ -126,11 +260,23 @@ class Model:
         return float(np.clip(np.interp(vote, self.at, self.to), 0.0, 1.0))
 
 
-def unit(counts: dict[str, int], terms: dict[str, int], idf) -> dict[int, float]:
-    """The TF-IDF vector of length 1 over the terms; empty without any."""
-    raw = {terms[w]: (1 + np.log(n)) * idf[terms[w]] for w, n in counts.items() if w in terms}
-    size = np.sqrt(sum(x * x for x in raw.values()))
-    return {t: float(x / size) for t, x in raw.items()}
+_MADE: dict = {}  # of this process: the last index made
+
+
+def raw_weights(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.log(counts)
+
+
+def label_weights(docs: np.ndarray, hits: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """Of words held by ``docs`` of n examples, ``hits`` of them positive: how much to make
+    of each. None is 0."""
+
+    def part(seen: np.ndarray, share: float) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1) / (np.maximum(docs, 1) * share))
+
+    share = positive / n
+    g = np.maximum(0.0, 2 * (part(hits, share) + part(docs - hits, 1 - share)))
+    return (g / (g + DOUBT)) ** 2 + LEAST_WEIGHT
 
 
 def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
@@ -174,26 +320,6 @@ def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
     return stored(out.drop("least"))
 
 
-def _chosen_terms(examples: DataFrame, n: int, positive: int) -> list[tuple[str, int]]:
-    """The terms that depend most on the label, with their numbers of examples."""
-    counts = (
-        examples.select("_label", F.explode("words").alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("docs"), F.sum("_label").alias("hits"))
-        .filter(F.col("docs") >= LEAST_DOCS)
-    )
-    docs, hits = F.col("docs").cast("double"), F.col("hits").cast("double")
-    cross = n * hits - docs * positive
-    chi2 = cross * cross * n / (docs * (n - docs) * positive * (n - positive))
-    chosen = (
-        counts.withColumn("chi2", F.when(docs < n, chi2).otherwise(0.0))
-        .filter(F.col("chi2") >= LEAST_CHI2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(MAX_TERMS)
-    )
-    return sorted((r["term"], r["docs"]) for r in chosen.collect())
-
-
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -210,38 +336,56 @@ def fit(
     examples = _examples(sample, key, text)
     n, positive = examples.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
     if not 0 < positive < n:
-        share = float(positive / n) if n else 0.0
-        return Model([], [], [], [], [], [0.0], [share], share)
-    chosen = _chosen_terms(examples, n, positive)
-    terms = [t for t, _ in chosen]
-    idf = [float(np.log((1 + n) / (1 + docs)) + 1) for _, docs in chosen]
-    wanted = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
-    both = F.arrays_zip("words", "counts")
-    rows = (
-        examples.withColumn("both", F.filter(both, lambda x: F.array_contains(wanted, x["words"])))
-        .select("id", "_label", F.col("both.words").alias("w"), F.col("both.counts").alias("c"))
-        .withColumn("none", F.size("w") == 0)
-    )
-    none = rows.filter("none").agg(F.count("*"), F.sum("_label")).first()
-    alone = float(none[1] / none[0]) if none[0] else 0.0
-    some = rows.filter(~F.col("none")).orderBy("id", "_label").collect()  # max_examples
-    at = {t: k for k, t in enumerate(terms)}
-    vectors = [unit(dict(zip(r["w"], r["c"])), at, idf) for r in some]
+        model = Model([], np.empty(0), 0.0, [], [], np.empty(0, int), np.zeros(1, int),
+                      np.empty(0, np.int32), np.empty(0, np.int32))
+        model.broadcast(docs.sparkSession)
+        model.to = [float(positive / n) if n else 0.0] * 2
+        return model
+    rows = examples.orderBy("id", "_label").toArrow()  # max_examples
+    words = rows["words"].combine_chunks()
+    counts = rows["counts"].combine_chunks().flatten().to_numpy()
+    sizes = pc.list_value_length(words).to_numpy()
+    ids, label = rows["id"].to_pylist(), rows["_label"].to_numpy()
+    listed = words.flatten().dictionary_encode()
+    del rows, words
+    terms, names = listed.indices.to_numpy(), listed.dictionary.to_pylist()
+    del listed
+    held = np.bincount(terms, minlength=len(names)).astype(float)
+    hits = np.bincount(terms, np.repeat(label, sizes), len(names))
+    weights = (np.log((1 + n) / (1 + held)) + 1) * label_weights(held, hits, n, positive)
+    unknown = float(np.log(1 + n) + 1) * LEAST_WEIGHT
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    # Within a vector the length doesn't change the order.
+    order = head_order(starts, terms, raw_weights(counts) * weights[terms])
+    found, sizes = _spans(starts, order)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
     model = Model(
-        terms, idf, vectors, [r["id"] for r in some], [r["_label"] for r in some],
-        [0.0, 1.0], [0.0, 1.0], alone,
+        names, weights, unknown, ids, label.tolist(), order, starts, terms[found],
+        counts[found],
     )
-    points = Counter()
+    model.broadcast(docs.sparkSession)
+    votes = _own_votes(docs.sparkSession, model, n)
+    points = Counter(votes)
     toxic = Counter()
-    for k, vector in enumerate(vectors):
-        vote = round(model.vote(model.index.nearest(vector, NEIGHBOURS, without=k)), 3)
-        points[vote] += 1
-        toxic[vote] += model.labels[k]
-    if points:
-        model.at, model.to = isotonic([(v, c, toxic[v]) for v, c in points.items()])
+    for vote, one in zip(votes, model.labels):
+        toxic[vote] += one
+    model.at, model.to = isotonic([(v, c, toxic[v]) for v, c in points.items()])
     return model
 
 
+def _own_votes(spark: SparkSession, model: Model, n: int) -> list[float]:
+    """Each example's vote with itself left out."""
+
+    def read(places: pa.Array) -> pa.Array:
+        model.ready()
+        votes = (model.vote(model.near_example(k)) for k in places.to_pylist())
+        return pa.array([round(v, 3) for v in votes], pa.float64())
+
+    vote = F.arrow_udf(read, T.DoubleType())
+    rows = spark.range(n).select("id", vote("id").alias("vote")).collect()
+    return [r["vote"] for r in sorted(rows)]
+
+
 _SCORED = T.StructType(
     [
         T.StructField("score", T.DoubleType()),
@@ -270,10 +414,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shape = pa.struct([("score", pa.float64()), ("evidence", evidence)])
 
     def one(content: str) -> dict:
-        vector = model.vector(Counter(filter(model.terms.__contains__, words_of(content))))
-        near = model.index.nearest(vector, NEIGHBOURS) if vector else []
+        near = model.ready().near(Counter(words_of(content)))
         return {
-            "score": model.calibrated(model.vote(near)) if near else model.alone,
+            "score": model.calibrated(model.vote(near)),
             "evidence": [
                 {"id": model.ids[k], "cosine": c, "label": model.labels[k]}
                 for c, k in near[:EVIDENCE]
