@@ -202,6 +202,18 @@ def test_weak_parts_need_each_other(spark):
     assert by[4] == "host [REDACTED] [REDACTED]"
 
 
+def test_long_parts_reach_their_neighbours(spark):
+    texts = [
+        "secret=" + "x" * 300 + " user=bob",
+        "https://h/" + "s" * 300 + " key Zx81kdkQwe93LmnopQ2",
+        "secret=" + "x" * 300 + " " + "-" * 300 + " user=bob",
+        "user=bob " + "-" * 240 + " secret=" + "x" * 300,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r["i"]: [s["kind"] for s in r["secrets"]] for r in secrets.find_secrets(df).collect()}
+    assert got == {0: [0, 3], 1: [4, 5], 2: [0], 3: [3, 0]}
+
+
 def best_fit(lengths):
     """Item by item: (capacity at last, contents) of each bin."""
     bins = []

@@ -4,14 +4,14 @@ Strong parts are reported wherever they are: assignments of a value to a name su
 ``password`` (kind ``assign``), access key ids (``access``) and long hexadecimal runs
 (``hex``). Weak parts are account names and mail addresses (``identity``), addresses and
 URLs (``endpoint``) and mixed runs of letters and digits (``candidate``). A weak part alone
-is ordinary text. It is reported only when its complement starts within ``SCOPE`` code
-points of its start: a secret for an identity or an endpoint, an identity, access key or
+is ordinary text. It is reported only when at most ``SCOPE`` code points lie between it and
+its complement: a secret for an identity or an endpoint, an identity, access key or
 endpoint for a candidate.
 
-The join on intervals runs within the row. Parts are sorted by start; parts of one kind
-don't overlap and have a least length, so only ``_NEAR`` neighbours on either side can lie
-in the scope, and looking at those is exact. Nothing is shuffled, the cost is linear in
-the parts, and all is built of Spark's own functions. Patterns start only at the edge of a
+The join on intervals runs within the row. Parts are sorted by start, and of each the
+greatest end of a complement before it and the least start of one after it tell exactly
+whether one is in the scope, however long parts are. Nothing is shuffled, the cost is
+linear in the parts, and all is built of Spark's own functions. Patterns start only at the edge of a
 run of their characters, so that long runs don't make them quadratic.
 
 A null text is an empty one and has no parts. Equal rows give equal results. A column
@@ -20,6 +20,8 @@ named like the added one is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,20 +54,20 @@ _PARTS = (
     (ASSIGN, 0, 12), (ACCESS, 1, 20), (HEX, 2, 24), (ACCOUNT, 3, 7), (MAIL, 3, 5),
     (ADDRESS, 4, 7), (URL, 4, 6), (CANDIDATE, 5, 16),
 )
-_NEAR = sum(SCOPE // least + 1 for _, _, least in _PARTS)
 _PART = "array<struct<start:int,kind:int,end:int>>"
 _CHUNK = 512
+_NONE = -(1 << 30)  # below all places
 
 
-def _sums_before(numbers: Column) -> Column:
-    """The sum of the numbers before each; in chunks, so that building it stays linear."""
+def _all_before(numbers: Column, add: Callable[[Column, Column], Column], first: int) -> Column:
+    """What the numbers before each add up to; in chunks, so that building it stays linear."""
 
     def within(chunk: Column, start: Column) -> Column:
         return F.aggregate(
             chunk,
             F.struct(start.alias("sum"), F.array().cast("array<int>").alias("all")),
             lambda acc, x: F.struct(
-                (acc["sum"] + x).alias("sum"),
+                add(acc["sum"], x).alias("sum"),
                 F.array_append(acc["all"], acc["sum"]).alias("all"),
             ),
         )["all"]
@@ -74,13 +76,15 @@ def _sums_before(numbers: Column) -> Column:
         F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / _CHUNK).cast("int")),
         lambda i: F.slice(numbers, i * _CHUNK + 1, F.lit(_CHUNK)),
     )
-    totals = F.transform(
-        chunks, lambda c: F.aggregate(c, F.lit(0), lambda acc, x: acc + x)
-    )
-    starts = within(totals, F.lit(0))
+    totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(first), add))
+    starts = within(totals, F.lit(first))
     return F.flatten(F.zip_with(chunks, starts, within))
 
 
+def _sums_before(numbers: Column) -> Column:
+    return _all_before(numbers, lambda x, y: x + y, 0)
+
+
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """The pattern's matches, leftmost first and without overlap, with their places: the
     gaps between matches come from a split, and gaps and matches add up to places."""
@@ -106,41 +110,58 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
     return F.when(text.rlike(pattern), parts).otherwise(F.array().cast(_PART))
 
 
-def _complements(kind: Column, other: Column) -> Column:
-    """Whether a part of the other kind makes a weak part of this kind reportable."""
-    return F.when(kind == 5, other.isin(1, 3, 4)).otherwise(other.isin(0, 2, 5))
+_STRONG, _SECRETS, _PLACES = (0, 1, 2), (0, 2, 5), (1, 3, 4)
 
 
-def _near(parts: Column, i: Column) -> Column:
-    """The neighbours of the part with index i, itself included."""
-    first = F.greatest(i + 1 - _NEAR, F.lit(1))
-    return F.slice(parts, first, F.lit(2 * _NEAR + 1))
+def _around(parts: Column, kinds: tuple[int, ...]) -> Column:
+    """Of each part the greatest end of a part of the kinds before it, and the least start,
+    negative, of one after it."""
 
+    def greatest(some: Column, place: Callable[[Column], Column]) -> Column:
+        places = F.transform(
+            some, lambda q: F.when(q["kind"].isin(*kinds), place(q)).otherwise(F.lit(_NONE))
+        )
+        return _all_before(places, lambda x, y: F.greatest(x, y), _NONE)
 
-def _distinct(parts: Column) -> Column:
-    """The parts without candidates that overlap a strong part: they are that part."""
+    return F.zip_with(
+        greatest(parts, lambda q: q["end"]),
+        F.reverse(greatest(F.reverse(parts), lambda q: -q["start"])),
+        lambda before, after: F.struct(before.alias("before"), after.alias("after")),
+    )
+
+
+def _gap(p: Column, around: Column) -> Column:
+    """The code points between a part and the nearest other, below 0 if they overlap."""
+    return F.least(p["start"] - around["before"], -around["after"] - p["end"])
 
-    def own(p: Column, i: Column) -> Column:
-        overlapped = F.exists(
-            _near(parts, i),
-            lambda q: (q["kind"] <= 2) & (q["start"] < p["end"]) & (p["start"] < q["end"]),
+
+def _filtered(parts: Column, *around: Column, by: Callable[..., Column]) -> Column:
+    """The parts for which ``by`` holds, given them and what is around them."""
+    whole = F.zip_with(parts, around[0], lambda p, x: F.struct(p.alias("p"), x.alias("x")))
+    for more in around[1:]:
+        whole = F.zip_with(
+            whole, more, lambda w, y: F.struct(w["p"].alias("p"), w["x"].alias("x"), y.alias("y"))
         )
-        return (p["kind"] != 5) | ~overlapped
+    names = ["p", "x", "y"][: 1 + len(around)]
+    kept = F.filter(whole, lambda w: by(*(w[n] for n in names)))
+    return F.when(F.size(parts) > 0, F.transform(kept, lambda w: w["p"])).otherwise(parts)
 
-    return F.filter(parts, own)
+
+def _distinct(parts: Column) -> Column:
+    """The parts without candidates that overlap a strong part: they are that part."""
+    return _filtered(
+        parts, _around(parts, _STRONG), by=lambda p, strong: (p["kind"] != 5) | (_gap(p, strong) >= 0)
+    )
 
 
 def _linked(parts: Column) -> Column:
     """The strong parts, and the weak ones with a complement in their scope."""
 
-    def reported(p: Column, i: Column) -> Column:
-        return (p["kind"] <= 2) | F.exists(
-            _near(parts, i),
-            lambda q: _complements(p["kind"], q["kind"])
-            & (F.abs(q["start"] - p["start"]) <= SCOPE),
-        )
+    def reported(p: Column, secret: Column, place: Column) -> Column:
+        gap = F.when(p["kind"] == 5, _gap(p, place)).otherwise(_gap(p, secret))
+        return (p["kind"] <= 2) | (gap <= SCOPE)
 
-    return F.filter(parts, reported)
+    return _filtered(parts, _around(parts, _SECRETS), _around(parts, _PLACES), by=reported)
 
 
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
