@@ -68,5 +68,88 @@ FROM doc JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)
 """
 
 
+_GOOD = "len(list_filter({v}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP13 = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE e IS NOT NULL AND label IS NOT NULL AND {_GOOD.format(v='e')}
+), link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION
+  SELECT reach.vec_id, link.b FROM reach JOIN link ON reach.r = link.a
+), least AS (
+  SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+), number AS (
+  SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN number USING (vec_id)
+"""
+
+
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every part against every entry, a pair of common tables per round."""
+    steps = [
+        f"""WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding,
+    lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND {_GOOD.format(v='embedding')}
+), piece AS MATERIALIZED (
+  SELECT vec_id, label, k, e[k * len(e) // {parts} + 1 : (k + 1) * len(e) // {parts}] AS p
+  FROM kept, (SELECT unnest(range(0, {parts})) AS k)
+), book0 AS MATERIALIZED (
+  SELECT k, n - 1 AS i, p AS c
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY vec_id) AS n FROM piece)
+  WHERE n <= {entries}
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""near{r} AS MATERIALIZED (
+  SELECT vec_id, label, k, p, min(d) AS d, arg_min(i, d * {entries} + i) AS i FROM (
+    SELECT vec_id, label, piece.k, p, i, list_sum(list_transform(range(1, len(p) + 1),
+      lambda j: CAST((p[j] - c[j]) * (p[j] - c[j]) AS BIGINT))) AS d
+    FROM piece JOIN book{r} b ON piece.k = b.k)
+  GROUP BY vec_id, label, k, p
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""book{r + 1} AS MATERIALIZED (
+  SELECT b.k, b.i, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (
+    SELECT k, i, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM (
+      SELECT k, i, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT k, i, unnest(p) AS x, unnest(range(1, len(p) + 1)) AS j FROM near{r})
+      GROUP BY k, i, j)
+    GROUP BY k, i) m ON b.k = m.k AND b.i = m.i
+)"""
+            )
+    steps.append(
+        f"""coded AS MATERIALIZED (
+  SELECT vec_id, label, string_agg(printf('%02x', i), '' ORDER BY k) AS code,
+    CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id, label
+), total AS (
+  SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded GROUP BY label
+)
+SELECT vec_id, code, error, label_error, (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY k, i)) FROM book{rounds}
+) AS codebooks_sha256
+FROM coded JOIN total ON coded.label IS NOT DISTINCT FROM total.label"""
+    )
+    return ",\n".join(steps)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": OP4, "op9_minhash_near_dedup": OP9}
+    return {
+        "op4_benchmark_decontamination": OP4,
+        "op9_minhash_near_dedup": OP9,
+        "op11_vector_code_compression": _op11(),
+        "op13_embedding_near_dedup": OP13,
+    }

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles, quality, toxicity
-from .common import remainder, table
+from .common import group_key, remainder, table
+from .conversations import repair
 from .decontaminate import decontaminate
 from .extract import extract
 from .fingerprint import as_text, containment, fingerprints, similarity
@@ -17,6 +18,8 @@ from .pack import pack
 from .secrets import find_secrets, named
 from .shard import interleave
 from .tokens import count_tokens
+from .vector_codes import compress
+from .vector_dedup import near_vectors
 
 # The vocabulary file of op8; any of its format will do.
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -138,6 +141,57 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = compress(table(spark, sf_dir, "embeddings"))
+    numbers = (str(x) for part in codes.codebooks for entry in part for x in entry)
+    held = ",".join(numbers)  # bounded: 16 entries of a vector's length
+    index = F.transform("code", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0"))
+    return codes.rows.select(
+        "vec_id",
+        F.array_join(index, "").alias("code"),
+        "error",
+        "label_error",
+        F.sha2(F.lit(held), 256).alias("codebooks_sha256"),
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults by a hash of id and turn; null roles and texts become
+    one space."""
+    conv, turn, role, text = (
+        F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")
+    )
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    copies = F.array_repeat(F.lit(0), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "")
+        .when(fault == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    done = repair(damaged(turns)).withColumn("conv", group_key("conv_id")).drop("conv_id")
+    convs = turns.select("conv_id").distinct().withColumn("conv", group_key("conv_id"))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return convs.join(done, "conv", "left").select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"),
+    )
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:2] == "op" and name[2].isdigit()}
 
