@@ -33,7 +33,7 @@ LARGER = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in "documents benchmark labels pages".split():
+    for name in "documents benchmark labels pages embeddings conversations".split():
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     yield con
     con.close()
@@ -50,7 +50,7 @@ def rows_of(spark, name, sf_dir=SF_DIR):
 
 def test_registered():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
     assert set(oracle_sql()) <= set(queries())
 
