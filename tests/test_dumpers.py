@@ -253,13 +253,15 @@ def test_dumps_read_the_table_once(spark, skewed, tmp_path):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_first_supers_shred_the_input_once(spark, tmp_path, lines):
+def test_first_supers_are_ranked_before_a_shuffle(spark, tmp_path, lines):
+    """No join; each task limits the supers of a row before it passes them on."""
     lines('r\t{"s":{"a":"1"},"t":{"a":"2"}}').write.text(str(tmp_path / "in"))
     loaded = load_super_map(spark.read.text(str(tmp_path / "in")), SUP, load_ts=1).cells
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         text = plan(dump_super_map(loaded, SUP, max_super=1))
-        assert text.count("FileScan") == text.count("ReusedExchange") == 1
+        assert text.count("FileScan") == 1 and "Join" not in text
+        assert text.count("Exchange hash") == 2 and text.count("WindowGroupLimit") == 2
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert [r.value for r in dump_super_map(loaded, SUP, max_super=1).collect()] == ["r\ts\ta\t1"]

@@ -1,7 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from widerow.functions import bytes_to_long, long_to_bytes, parse_long, split_fields
+from widerow.functions import (
+    bytes_to_long,
+    json_super_map,
+    long_to_bytes,
+    parse_long,
+    split_fields,
+)
 
 
 @pytest.mark.parametrize(
@@ -44,3 +50,24 @@ def test_long_bytes(spark, value):
     assert [bytes(x) if isinstance(x, bytearray) else x for x in df.first()] == [
         value.to_bytes(8, "big", signed=True), value,
     ]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('{"s":{"a":1.50,"b": -1e3 ,"c":"x:2,"}}', {"s": {"a": "1.50", "b": "-1e3", "c": "x:2,"}}),
+        ('{"s":{"a\\":1":2,"b\\\\":0.10}}', {"s": {'a":1': "2", "b\\": "0.10"}}),
+        ('{"s":{"a":1,"a":2.0,"n":null,"t":true}}', {"s": {"a": "2.0", "n": None, "t": "true"}}),
+        ('{"s":{"a":01}}', None),
+        ('{"s":{"a":1.}}', None),
+        ('{"s":{1:"a"}}', None),
+        ('{"s":1}', None),
+        ('{"s":{"a":1}', None),
+        ('{"s":{"a":12345678901234567890.123456789012345678901}}',
+         {"s": {"a": "12345678901234567890.123456789012345678901"}}),
+    ],
+)
+def test_numbers_of_super_maps_keep_their_spelling(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    parsed = df.select(json_super_map(F.col("t")).alias("m")).first()["m"]
+    assert (parsed if parsed is None else {k: dict(v) for k, v in parsed.items()}) == expected

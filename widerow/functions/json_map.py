@@ -16,8 +16,36 @@ def json_map(text: Column) -> Column:
 
 def json_super_map(text: Column) -> Column:
     """A JSON object of objects as MAP<STRING,MAP<STRING,STRING>>, null when it
-    is not one."""
-    return F.from_json(text, "map<string,map<string,string>>", _STRICT)
+    is not one. Numbers keep their spelling (``1.50``, ``1e3``)."""
+    return F.from_json(numbers_as_text(text), "map<string,map<string,string>>", _STRICT)
+
+
+def numbers_as_text(text: Column) -> Column:
+    """JSON text in which the numbers of objects are strings of the same spelling.
+
+    Parsing a number would lose it. The parts of the text outside strings are every
+    other one between quotes, once escaped quotes and backslashes are out of the way;
+    the marks that stand for them can't occur in JSON, and a text with them is left
+    as it is, as is one that has no number after a colon.
+    """
+    number = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+    blank = r"[ \t\r\n]*"
+    marks = {"\\\\": "\x01", '\\"': "\x02"}
+    held = text
+    for escaped, mark in marks.items():
+        held = F.replace(held, F.lit(escaped), F.lit(mark))
+    parts = F.transform(
+        F.split(held, '"', -1),
+        lambda part, i: F.when(
+            i % 2 == 0,
+            F.regexp_replace(part, f"(:{blank})({number})(?={blank}[,}}])", '$1"$2"'),
+        ).otherwise(part),
+    )
+    quoted = F.array_join(parts, '"')
+    for escaped, mark in reversed(marks.items()):
+        quoted = F.replace(quoted, F.lit(mark), F.lit(escaped))
+    needed = text.rlike(f":{blank}-?[0-9]") & ~text.rlike("[\\x01\\x02]")
+    return F.when(needed, quoted).otherwise(text)
 
 
 def last_entries(m: Column) -> Column:

@@ -8,6 +8,7 @@ from .loaders import (
     load_super_pairs,
     load_table,
 )
+from .pieces import map_pieces, name_pieces, prepared_pieces
 from .prepare import map_prepare, split_records, super_map_prepare
 from .reconcile import merge_cells, reconcile
 
@@ -23,8 +24,11 @@ __all__ = [
     "load_super_map",
     "load_super_pairs",
     "load_table",
+    "map_pieces",
     "map_prepare",
     "merge_cells",
+    "name_pieces",
+    "prepared_pieces",
     "reconcile",
     "split_records",
     "super_map_prepare",

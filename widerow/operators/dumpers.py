@@ -2,7 +2,8 @@
 
 Each takes cells as a load or ``scan_cells`` gives them, keeps those of one family
 and reconciles them. Pass ``reconciled=True`` for cells that are known to be so
-already (a compacted table, the result of ``reconcile``) to save that shuffle.
+already (a compacted table, the result of ``reconcile``) to save that shuffle, and
+``bucketed=True`` for cells of a base, of which nothing is shuffled then.
 The result has one text column ``value``, in no particular order of rows.
 """
 
@@ -19,10 +20,6 @@ from .prepare import map_lines
 from .reconcile import reconcile
 from .wide_rows import by_piece
 
-# Groups the supers of one row are first ranked in, so that ranking a row with very
-# many supers is not the work of one task.
-RANK_GROUPS = 1024
-
 
 def dump_table(
     cells: DataFrame, spec: FamilySpec, names: Sequence[str], reconciled: bool = False
@@ -54,6 +51,7 @@ def dump_column_names(
     spec: FamilySpec,
     reconciled: bool = False,
     pieces: int = 1,
+    bucketed: bool = False,
 ) -> DataFrame:
     """``row_key`` and the name of every column, each followed by a tab, in name
     order; the columns of a super family are its supers. Neither values nor
@@ -62,7 +60,7 @@ def dump_column_names(
     named = cells.filter(spec.matches()).select("row_key", name)
     if spec.is_super or not reconciled:
         named = named.distinct()
-    dealt, line = by_piece(named, ["name"], pieces)
+    dealt, line = by_piece(named, ["name"], pieces, bucketed)
     rows = dealt.groupBy(*line).agg(
         F.sort_array(F.collect_list(spec.sort_key("name"))).alias("names")
     )
@@ -77,18 +75,23 @@ def dump_super_map(
     reconciled: bool = False,
 ) -> DataFrame:
     """One line per super cell: ``row_key``, super, name, value. ``max_super`` keeps
-    the first so many supers of each row, in name order."""
+    the first so many supers of each row, in name order.
+
+    For that, supers are ranked over cells that are reconciled already. Every task
+    ranks its own cells first and passes on only those of its first supers, so a row
+    with any number of supers sends few of them; ranking holds no row in memory.
+    """
     spec.require(is_super=True)
     newest = _newest(cells, spec, reconciled)
     if max_super is not None:
-        newest = newest.filter(F.col("row_key").isNotNull() & F.col("super").isNotNull())
-        if not reconciled:
-            # True of any timestamp. It keeps the newest cell in both plans below, which
-            # so have the same shuffle, and Spark reuses that; without it the input
-            # would be shredded a second time for the supers alone.
-            newest = newest.filter(F.coalesce("ts", F.lit(0)) >= F.lit(-(1 << 63)))
-        first = _first_supers(newest, spec, max_super)
-        newest = newest.join(first, ["row_key", "super"], "left_semi")
+        place = F.dense_rank().over(
+            Window.partitionBy("row_key").orderBy(spec.sort_key("super"))
+        )
+        newest = (
+            newest.filter(F.col("row_key").isNotNull() & F.col("super").isNotNull())
+            .withColumn("place", place)
+            .filter(F.col("place") <= max_super)
+        )
     return newest.select(
         tab_line(*[F.col(c) for c in ("row_key", "super", "name", "value")]).alias(
             "value"
@@ -101,29 +104,15 @@ def dump_map(
     spec: FamilySpec,
     reconciled: bool = False,
     pieces: int = 1,
+    bucketed: bool = False,
 ) -> DataFrame:
     """``row_key``, tab, JSON object of the row: what ``load_map`` reads. ``pieces``
     lines per row, one if not given."""
     spec.require(is_super=False)
     newest = _newest(cells, spec, reconciled)
-    rows = map_lines(newest, spec.sort_key("name"), pieces)
+    rows = map_lines(newest, spec.sort_key("name"), pieces, bucketed)
     return rows.select(tab_line(F.col("row_key"), F.col("json")).alias("value"))
 
 
 def _newest(cells: DataFrame, spec: FamilySpec, reconciled: bool) -> DataFrame:
     return cells.filter(spec.matches()) if reconciled else reconcile(cells, spec)
-
-
-def _first_supers(cells: DataFrame, spec: FamilySpec, n: int) -> DataFrame:
-    """The first ``n`` supers of every row: the first ``n`` of each of its groups,
-    then the first ``n`` of those."""
-    supers = (
-        cells.select("row_key", "super")
-        .distinct()
-        .withColumn("at", spec.sort_key("super"))
-        .withColumn("rank_group", F.pmod(F.xxhash64("super"), F.lit(RANK_GROUPS)))
-    )
-    for group in (["row_key", "rank_group"], ["row_key"]):
-        rank = F.row_number().over(Window.partitionBy(*group).orderBy("at"))
-        supers = supers.withColumn("rank", rank).filter(F.col("rank") <= n)
-    return supers.select("row_key", "super")

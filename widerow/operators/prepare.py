@@ -37,8 +37,7 @@ def map_prepare(
 
     A repeated name keeps the value last by ``order``, the greatest without one.
     """
-    picked = _text(records, row_key=key, name=name, value=value)
-    last = _last_value(picked, ["row_key", "name"], order)
+    last = current_records(records, {"row_key": key, "name": name, "value": value}, order)
     return map_lines(last, F.col("name"), pieces)
 
 
@@ -53,8 +52,8 @@ def super_map_prepare(
 ) -> DataFrame:
     """``(row_key, json)``: one JSON object of flat JSON objects per key; repeated
     names and ``pieces`` as in ``map_prepare``."""
-    picked = _text(records, row_key=key, super=super, name=name, value=value)
-    last = _last_value(picked, ["row_key", "super", "name"], order)
+    named = {"row_key": key, "super": super, "name": name, "value": value}
+    last = current_records(records, named, order)
     # The one shuffle serves both groupings.
     dealt, line = by_piece(last, ["super", "name"], pieces)
     supers = dealt.groupBy(*line, "super").agg(_pairs(F.col("name")).alias("pairs"))
@@ -67,11 +66,13 @@ def super_map_prepare(
     return rows.select("row_key", json_object(F.col("members.member")).alias("json"))
 
 
-def map_lines(cells: DataFrame, sort_key: Column, pieces: int) -> DataFrame:
+def map_lines(
+    cells: DataFrame, sort_key: Column, pieces: int, bucketed: bool = False
+) -> DataFrame:
     """``(row_key, json)`` from cells with distinct names per row, names sorted by
     ``sort_key``."""
     picked = cells.select("row_key", "name", "value")
-    dealt, line = by_piece(picked, ["name"], pieces)
+    dealt, line = by_piece(picked, ["name"], pieces, bucketed)
     rows = dealt.groupBy(*line).agg(_pairs(sort_key).alias("pairs"))
     return rows.select("row_key", json_object(F.col("pairs.pair")).alias("json"))
 
@@ -81,14 +82,15 @@ def _pairs(sort_key: Column) -> Column:
     return F.sort_array(F.collect_list(F.struct(sort_key.alias("at"), pair)))
 
 
-def _text(records: DataFrame, **columns: str) -> DataFrame:
-    """The named columns as text, beside all others (one may give the order)."""
-    return records.withColumns(
-        {new: F.col(old).cast("string") for new, old in columns.items()}
+def current_records(
+    records: DataFrame, named: dict[str, str], order: str | None
+) -> DataFrame:
+    """The named columns as text, one record for each key and name: the last by
+    ``order``, that with the greatest value without one."""
+    keys = [new for new in named if new != "value"]
+    records = records.withColumns(
+        {new: F.col(old).cast("string") for new, old in named.items()}
     )
-
-
-def _last_value(records: DataFrame, keys: list[str], order: str | None) -> DataFrame:
     if order is None:
         return records.groupBy(*keys).agg(F.max("value").alias("value"))
     return (

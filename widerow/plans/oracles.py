@@ -72,6 +72,18 @@ _LONG_ORDERS = _super(
 _JSON_ENTRIES = (
     "'{' || string_agg('\"' || name || '\":\"' || value || '\"', ',' ORDER BY name) || '}'"
 )
+_SPACED_ENTRIES = _JSON_ENTRIES.replace("','", "', '") + " || ' '"
+_EVENT_FIELDS = _newest(
+    _standard(
+        "web.events",
+        [
+            ("events", "user_id", name, value, "epoch_us(ts)")
+            for name, value in (
+                ("'type'", "event_type"), ("'event_id'", "event_id"), ("'at'", "epoch_us(ts)"),
+            )
+        ],
+    )
+)
 _SUPER_LINE = (
     "row_key || chr(9) || super || chr(9) || name || chr(9) || value AS value"
 )
@@ -276,6 +288,65 @@ def oracle_sql() -> dict[str, str]:
             SELECT row_key || chr(9) || string_agg(value || chr(9), '' ORDER BY name) AS value
             FROM ({_NEWEST_BY_TYPE}) WHERE name IN ('view', 'click', 'purchase')
             GROUP BY row_key""",
+        "base_merge": _EVENT_FIELDS,
+        "base_with_deltas": f"""
+            SELECT row_key || chr(9) || string_agg(value || chr(9), '' ORDER BY name) AS value
+            FROM ({_EVENT_FIELDS}) WHERE name <> 'at' GROUP BY row_key""",
+        "base_dump_map": f"""
+            SELECT row_key || chr(9) || {_JSON_ENTRIES} AS value
+            FROM ({_NEWEST_BY_TYPE}) GROUP BY row_key""",
+        "base_column_names": f"""
+            SELECT row_key || chr(9) || string_agg(name || chr(9), '' ORDER BY name) AS value
+            FROM (SELECT DISTINCT row_key, name FROM ({_EDGES})) GROUP BY row_key""",
+        "base_super_map_first": f"""
+            SELECT {_SUPER_LINE}
+            FROM (SELECT *, dense_rank() OVER (PARTITION BY row_key ORDER BY CAST(super AS BIGINT)) AS n
+                  FROM ({_LONG_ORDERS})) WHERE n <= 3""",
+        "batch_records": f"""
+            SELECT row_key, super, name, value, '' AS reason FROM ({_LONG_ORDERS})
+            UNION ALL
+            SELECT CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 'q', '', 'bad_long_name'
+            FROM orders""",
+        "batch_counts": """
+            SELECT count(*) AS loaded_rows,
+                   2 * count(*) - count(*) FILTER (l_linenumber = 5) AS loaded_columns,
+                   count(*) FILTER (l_linenumber = 5) AS bad_columns
+            FROM lineitem""",
+        "compact_by_name": f"SELECT DISTINCT * FROM ({_EDGES}) WHERE name IN ('1', '7', '10')",
+        "name_pieces": f"""
+            SELECT row_key || chr(9) || string_agg(name || chr(9), '' ORDER BY name) AS value
+            FROM (SELECT DISTINCT row_key, name FROM ({_EDGES})) GROUP BY row_key""",
+        "map_pieces": f"""
+            SELECT row_key || chr(9) || {_SPACED_ENTRIES} AS value
+            FROM ({_NEWEST_BY_TYPE}) GROUP BY row_key""",
+        "prepared_pieces": f"""
+            SELECT row_key || chr(9) || {_SPACED_ENTRIES} AS value
+            FROM ({_NEWEST_BY_TYPE}) GROUP BY row_key""",
+        "prepared_super_pieces": _super(
+            "shop.orders",
+            [
+                (
+                    "(SELECT o_custkey, o_orderstatus, o_orderpriority, max(o_orderkey) AS o"
+                    " FROM orders GROUP BY ALL)",
+                    "o_custkey", "o_orderstatus", "o_orderpriority", "o",
+                ),
+            ],
+        ),
+        "load_super_map_numbers": _super(
+            "shop.orders",
+            [
+                ("lineitem", "l_orderkey || '-' || l_linenumber", super_, name, value)
+                for super_, name, value in (
+                    ("'s'", "'price'", "printf('%.2f', l_extendedprice)"),
+                    ("'s'", "'power'", "'-1e3'"),
+                    ("'s'", "'zero'", "'0.50'"),
+                    ("'s'", "'key'", "l_partkey"),
+                    ("'s'", "'text'", "'a\":7,\\'"),
+                    ("'t'", "'flag'", "'true'"),
+                )
+            ],
+        ),
+        "append_stream": _EVENT_FIELDS,
         "long_name_bytes": """
             SELECT -l_partkey AS name,
                    CASE WHEN l_partkey = 0 THEN '0000000000000000'

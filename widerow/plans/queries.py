@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import (
     FamilySpec,
     append_cells,
+    append_stream,
     compact,
     discard,
     dump_column_names,
@@ -27,14 +28,22 @@ from .. import (
     load_super_map,
     load_super_pairs,
     load_table,
+    map_pieces,
     map_prepare,
     merge_cells,
+    name_pieces,
+    open_base,
+    prepared_pieces,
     read_lines,
     reconcile,
+    scan_batches,
     scan_cells,
+    scan_rejects,
     split_records,
     super_map_prepare,
+    write_batch,
     write_lines,
+    write_pieces,
 )
 from ..functions import bytes_to_long, long_to_bytes, tab_line
 from .scratch import shared_folder
@@ -492,6 +501,158 @@ def q_long_name_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BUCKETS = 16  # of the bases below
+
+
+def _event_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Event lines in three batches: half of all, and the other half before and after a
+    time. Users are rows, so later batches write some cells of earlier ones again."""
+    path = shared_folder(spark)
+    events = _events(spark, sf_dir)
+    first = F.col("event_id") % 2 == 0
+    second = ~first & (F.col("us") < LOAD_TS)
+    for batch, part in (
+        ("2024-01-01", first), ("2024-01-02", second), ("2024-01-03", ~first & ~second),
+    ):
+        lines = _lines(events.filter(part), "user_id", "event_type", "event_id", "us")
+        names = ["user_id", "type", "event_id", "at"]
+        write_batch(load_table(lines, EVENTS, names, ts_field=3), path, batch)
+    return path
+
+
+def q_base_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base made of the first batch, with two more merged into it."""
+    batches = _event_batches(spark, sf_dir)
+    base = open_base(spark, shared_folder(spark), BUCKETS)
+    for batch in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        base.merge(scan_batches(spark, batches, first=batch, last=batch))
+    return base.scan(EVENTS).select(STANDARD)
+
+
+def q_base_with_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base of the first batch and the batches after it, dumped without merging."""
+    batches = _event_batches(spark, sf_dir)
+    base = open_base(spark, shared_folder(spark), BUCKETS)
+    base.merge(scan_batches(spark, batches, last="2024-01-01"))
+    cells = base.with_deltas(scan_batches(spark, batches, first="2024-01-02"), EVENTS)
+    return dump_table(cells, EVENTS, ["type", "event_id"], reconciled=True)
+
+
+def _event_base(spark: SparkSession, sf_dir: str, cells: DataFrame):
+    base = open_base(spark, shared_folder(spark), BUCKETS)
+    base.merge(cells)
+    return base
+
+
+def q_base_dump_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base dumped without a shuffle."""
+    base = _event_base(spark, sf_dir, _latest_by_type(spark, sf_dir))
+    return dump_map(base.scan(EVENTS), EVENTS, reconciled=True, bucketed=True)
+
+
+def q_base_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = load_columns(_edge_lines(spark, sf_dir), GRAPH, load_ts=LOAD_TS).cells
+    base = _event_base(spark, sf_dir, cells)
+    return dump_column_names(base.scan(GRAPH), GRAPH, reconciled=True, bucketed=True)
+
+
+def q_base_super_map_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _event_base(spark, sf_dir, _long_super_orders(spark, sf_dir).cells)
+    cells = base.scan(ORDERS_LONG)
+    return dump_super_map(cells, ORDERS_LONG, max_super=3, reconciled=True)
+
+
+def q_batch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells and rejects of one load, written in one pass; the batch is written twice."""
+    path = shared_folder(spark)
+    for _ in range(2):
+        write_batch(_long_super_orders(spark, sf_dir), path, "a")
+    cells = scan_batches(spark, path, ORDERS_LONG).select(
+        "row_key", "super", "name", "value", F.lit("").alias("reason")
+    )
+    rejects = scan_rejects(spark, path).select(
+        "row_key", "super", "name", F.lit("").alias("value"), "reason"
+    )
+    return cells.unionByName(rejects)
+
+
+def q_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a load written as a batch."""
+    load = load_columns(_spoiled_edges(spark, sf_dir), GRAPH_LONG, count=True)
+    counts = write_batch(load, shared_folder(spark), "a")
+    return spark.range(1).select(
+        F.lit(counts["rows"]).cast("bigint").alias("loaded_rows"),
+        F.lit(counts["columns"]).cast("bigint").alias("loaded_columns"),
+        F.lit(counts["bad"]).cast("bigint").alias("bad_columns"),
+    )
+
+
+def q_compact_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table laid out by name, read by a few names."""
+    path, compacted = shared_folder(spark), shared_folder(spark)
+    append_cells(load_columns(_edge_lines(spark, sf_dir), GRAPH, load_ts=LOAD_TS).cells, path)
+    compact(spark, path, compacted, by_name=True)
+    return scan_cells(spark, compacted, GRAPH, names=["1", "7", "10"]).select(STANDARD)
+
+
+def _written(spark: SparkSession, pieces: DataFrame) -> DataFrame:
+    path = shared_folder(spark)
+    write_pieces(pieces, path)
+    return read_lines(spark, path)
+
+
+def q_name_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column names written piece by piece."""
+    cells = load_columns(_edge_lines(spark, sf_dir), GRAPH, load_ts=LOAD_TS).cells
+    return _written(spark, name_pieces(cells, GRAPH))
+
+
+def q_map_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, map_pieces(_latest_by_type(spark, sf_dir), EVENTS))
+
+
+def q_prepared_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    named = ["user_id", "event_type", "event_id"]
+    return _written(spark, prepared_pieces(events, *named, order="ts"))
+
+
+def q_prepared_super_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Super maps written piece by piece, and loaded."""
+    orders = _table(spark, sf_dir, "orders")
+    pieces = prepared_pieces(
+        orders, "o_custkey", "o_orderpriority", "o_orderkey", super="o_orderstatus",
+        order="o_orderkey",
+    )
+    lines = _written(spark, pieces)
+    return load_super_map(lines, ORDERS_SUPER, load_ts=LOAD_TS).cells.select(SUPER)
+
+
+def q_load_super_map_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in a map of maps keep their spelling, beside text that looks like one."""
+    quoted = F.concat(
+        F.lit('{"s":{"price":'), F.format_string("%.2f", "l_extendedprice"),
+        F.lit(', "power" : -1e3,"zero":0.50,"key":'), "l_partkey",
+        F.lit(',"text":"a\\":7,\\\\"},"t":{"flag":true}}'),
+    )
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    lines = _lines(_table(spark, sf_dir, "lineitem"), line, quoted)
+    return load_super_map(lines, ORDERS_SUPER, load_ts=LOAD_TS).cells.select(SUPER)
+
+
+def q_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines streamed into a cell table in two runs, the second for a later file."""
+    source, path, checkpoint = (shared_folder(spark) for _ in range(3))
+    for part in (0, 1):
+        events = _events(spark, sf_dir).filter(F.col("event_id") % 2 == part)
+        lines = _lines(events, "user_id", "event_type", "event_id", "us")
+        lines.write.mode("append").text(source)
+        names = ["user_id", "type", "event_id", "at"]
+        load = load_table(spark.readStream.text(source), EVENTS, names, ts_field=3)
+        append_stream(load.cells, path, checkpoint).awaitTermination()
+    return reconcile(scan_cells(spark, path, EVENTS), EVENTS).select(STANDARD)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines loaded at their own times, reconciled and dumped: the last type
     and id of every user."""
