@@ -95,3 +95,30 @@ def test_prepare_then_load(run, lines):
     main(["load-map", "--cf", "flat", path("flatjson"), path("cells")])
     main(["dump-table", "--cf", "flat", "--col-names", "b,a", path("cells"), path("table")])
     assert text("table") == ["r\t1\t2\t"]
+
+
+def test_batches_into_a_base(run, lines, capsys):
+    path, text = run
+    for day, given in (("1", ["r\ta\tb", "q\tc", "\tx"]), ("2", ["r\td"])):
+        write_lines(lines(*given), path(f"in{day}"))
+        load = ["load-columns", "--batch", day, "--rejects", path("bad"), path(f"in{day}")]
+        main([*load, path("batches")])
+        merge = ["merge", "--buckets", "4", "--first", day, path("batches"), path("base")]
+        main(merge)
+    assert "rows=2 bad_ts=0 columns=3 bad=1" in capsys.readouterr().err
+    assert text("bad") == ["empty_key\t\t\t\t\tx"]
+    main(["dump-columns", "--base", path("base"), path("names")])
+    assert text("names") == ["q\tc\t", "r\ta\tb\td\t"]
+    main(["dump-map", "--base", "--any-size", path("base"), path("maps")])
+    assert text("maps") == ['q\t{"c":"0"} ', 'r\t{"a":"0", "b":"0", "d":"0"} ']
+
+
+def test_rows_of_any_size(run, lines):
+    path, text = run
+    write_lines(lines("r\tt\tb\t2", "r\ts\ta\t1"), path("in"))
+    main(["prepare-super-map", "--any-size", path("in"), path("json")])
+    assert text("json") == ['r\t{"s":{"a":"1"}, "t":{"b":"2"}} ']
+    main(["load-super-map", path("json"), path("cells")])
+    main(["compact", "--by-name", path("cells"), path("compacted")])
+    main(["dump-columns", "--super", "--any-size", path("compacted"), path("names")])
+    assert text("names") == ["r\ts\tt\t"]

@@ -1,7 +1,8 @@
 """Command line: ``spark-submit`` or ``python -m widerow COMMAND OPTIONS IN OUT``.
 
 Loads read text and append to a cell table, dumps read a cell table and write text,
-the prepare commands read and write text.
+the prepare commands read and write text. With ``--batch`` a load writes its cells and
+rejects as one batch, and ``merge`` brings a base up to date with batches.
 """
 
 from __future__ import annotations
@@ -29,12 +30,20 @@ from . import (
     load_super_map,
     load_super_pairs,
     load_table,
+    map_pieces,
     map_prepare,
+    name_pieces,
+    open_base,
+    prepared_pieces,
     read_lines,
+    scan_batches,
     scan_cells,
+    scan_rejects,
     split_records,
     super_map_prepare,
+    write_batch,
     write_lines,
+    write_pieces,
 )
 from .functions import tab_line
 
@@ -70,12 +79,16 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--wide", action="store_true", help="wide table layout, '-' skips")
         load.add_argument("--failfast", action="store_true", help="stop at a bad record")
         load.add_argument("--dry-run", action="store_true", help="count, store nothing")
+        load.add_argument("--batch", help="write a batch of this name, rejects included")
         load.add_argument("--rejects", help="write reason, key, super, name and line here")
         load.add_argument("input")
         load.add_argument("table")
     for kind in DUMPS:
         dump = commands.add_parser(f"dump-{kind}", parents=[family, output])
         dump.add_argument("--compacted", action="store_true", help="the table is compacted")
+        dump.add_argument("--base", action="store_true", help="the table is a base")
+        if kind in ("columns", "map"):
+            dump.add_argument("--any-size", action="store_true", help="rows of any size")
         dump.add_argument("--max-super", type=int, help="supers per row to keep")
         dump.add_argument("--pieces", type=int, default=1, help="lines a row is dealt over")
         dump.add_argument("table")
@@ -83,12 +96,20 @@ def parser() -> argparse.ArgumentParser:
     for kind in PREPARES:
         prepare = commands.add_parser(f"prepare-{kind}", parents=[output])
         prepare.add_argument("--pieces", type=int, default=1, help="lines a row is dealt over")
+        prepare.add_argument("--any-size", action="store_true", help="rows of any size")
         prepare.add_argument("--rejects", help="write rejected lines here")
         prepare.add_argument("input")
         prepare.add_argument("output")
     compaction = commands.add_parser("compact")
     compaction.add_argument("table")
     compaction.add_argument("output")
+    compaction.add_argument("--by-name", action="store_true", help="lay cells out by name")
+    merge = commands.add_parser("merge")
+    merge.add_argument("--first", help="first batch")
+    merge.add_argument("--last", help="last batch")
+    merge.add_argument("--buckets", type=int, help="buckets of a new base")
+    merge.add_argument("batches")
+    merge.add_argument("base")
     return top
 
 
@@ -124,14 +145,19 @@ def load(spark: SparkSession, kind: str, args: argparse.Namespace) -> dict[str,
             "key-value": load_key_value,
         }[kind]
         result = loader(lines, spec, **options)
+    rejects = result.rejects
     if args.dry_run:
         discard(result.cells)
+        counters = result.counters()
+    elif args.batch:
+        counters = write_batch(result, args.table, args.batch)
+        rejects = scan_rejects(spark, args.table, args.batch, args.batch)
     else:
         append_cells(result.cells, args.table)
-    counters = result.counters()
+        counters = result.counters()
     if args.rejects and counters["bad"]:
         columns = ("reason", "row_key", "super", "name", "line")
-        bad = result.rejects.select(tab_line(*map(F.col, columns)).alias("value"))
+        bad = rejects.select(tab_line(*map(F.col, columns)).alias("value"))
         write_lines(bad, args.rejects)
     return counters
 
@@ -140,15 +166,23 @@ def dump(spark: SparkSession, kind: str, args: argparse.Namespace) -> None:
     spec = FamilySpec(
         args.ks, args.cf, args.longnames, args.super or kind == "super-map"
     )
-    cells = scan_cells(spark, args.table, spec)
-    done = {"reconciled": args.compacted}
+    cells = (
+        open_base(spark, args.table).scan(spec)
+        if args.base
+        else scan_cells(spark, args.table, spec)
+    )
+    done = {"reconciled": args.compacted or args.base}
     lines: DataFrame
+    if kind in ("columns", "map") and args.any_size:
+        pieces = name_pieces if kind == "columns" else map_pieces
+        write_pieces(pieces(cells, spec, **done), args.output, overwrite=args.rm)
+        return
     if kind == "table":
         lines = dump_table(cells, spec, args.col_names, **done)
     elif kind == "columns":
-        lines = dump_column_names(cells, spec, pieces=args.pieces, **done)
+        lines = dump_column_names(cells, spec, pieces=args.pieces, bucketed=args.base, **done)
     elif kind == "map":
-        lines = dump_map(cells, spec, pieces=args.pieces, **done)
+        lines = dump_map(cells, spec, pieces=args.pieces, bucketed=args.base, **done)
     else:
         lines = dump_super_map(cells, spec, args.max_super, **done)
     write_lines(lines, args.output, overwrite=args.rm)
@@ -158,10 +192,14 @@ def prepare(spark: SparkSession, kind: str, args: argparse.Namespace) -> dict[st
     lines = read_lines(spark, args.input)
     names = ["row_key", *(["super"] if kind == "super-map" else []), "name", "value"]
     records, rejects = split_records(lines, *names)
-    make = super_map_prepare if kind == "super-map" else map_prepare
-    prepared = make(records, pieces=args.pieces)
-    out = prepared.select(tab_line(prepared["row_key"], prepared["json"]).alias("value"))
-    write_lines(out, args.output, overwrite=args.rm)
+    if args.any_size:
+        pieces = prepared_pieces(records, super="super" if kind == "super-map" else None)
+        write_pieces(pieces, args.output, overwrite=args.rm)
+    else:
+        make = super_map_prepare if kind == "super-map" else map_prepare
+        prepared = make(records, pieces=args.pieces)
+        out = prepared.select(tab_line(prepared["row_key"], prepared["json"]).alias("value"))
+        write_lines(out, args.output, overwrite=args.rm)
     # Reads the lines again, without a shuffle: counters within a plan that shuffles
     # would count tasks that run twice.
     bad = rejects.count()
@@ -179,8 +217,12 @@ def main(argv: list[str] | None = None) -> None:
         print(" ".join(f"{name}={n}" for name, n in counters.items()), file=sys.stderr)
     elif action == "dump":
         dump(spark, kind, args)
+    elif action == "merge":
+        deltas = scan_batches(spark, args.batches, first=args.first, last=args.last)
+        n = open_base(spark, args.base, args.buckets).merge(deltas)
+        print(f"buckets={n}", file=sys.stderr)
     else:
-        compact(spark, args.table, args.output)
+        compact(spark, args.table, args.output, by_name=args.by_name)
 
 
 if __name__ == "__main__":
