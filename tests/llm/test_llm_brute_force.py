@@ -19,6 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import __spark_entry__ as contract  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from widerow.llm import secrets, tokens, toxicity  # noqa: E402
+from widerow.llm import shard as shards  # noqa: E402
 from widerow.llm.common import isotonic, table  # noqa: E402
 from widerow.llm.components import components  # noqa: E402
 from widerow.llm.oracles import oracle_sql  # noqa: E402
@@ -383,3 +384,31 @@ def test_pipeline(spark, duck):
     for r in packed:
         total[r["doc_id"]] += r["piece_length"]
     assert total == {d: len((t or "").encode()) + 1 for d, t in last.items()}
+
+
+def test_small_sources_fill_all_shards(spark):
+    """Half of the rows in one source, the rest in sources of one row or three."""
+    rows = [(i, "big") for i in range(800)] + [(1000 + i, f"one{i}") for i in range(800)]
+    rows += [(3000 + i, f"three{i // 3}") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = interleave(df, ["doc_id"]).collect()
+    count = Counter((r["shard"], r["source"][:3]) for r in got)
+    for shard in range(16):
+        assert abs(count[shard, "big"] - 50) <= 3
+        assert abs(count[shard, "one"] - 50) <= 3
+        assert abs(count[shard, "thr"] - 15) <= 3
+    again = interleave(df.repartition(5), ["doc_id"]).collect()
+    assert sorted(got) == sorted(again)
+
+
+def test_repeated_rows_spread(spark, monkeypatch):
+    monkeypatch.setattr(shards, "PER_BUCKET", 50)
+    rows = [(1, "a")] * 600 + [(i, "a") for i in range(2, 202)] + [(None, None)] * 200
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = [tuple(r) for r in interleave(df, ["doc_id"], shards=4).collect()]
+    count = Counter((r[2], r[0] == 1) for r in got)
+    for k in range(4):
+        assert abs(count[k, True] - 150) <= 30
+        assert sorted(r[3] for r in got if r[2] == k) == list(range(250))
+    again = [tuple(r) for r in interleave(df.repartition(7), ["doc_id"], shards=4).collect()]
+    assert sorted(got, key=str) == sorted(again, key=str)
