@@ -412,3 +412,51 @@ def test_repeated_rows_spread(spark, monkeypatch):
         assert sorted(r[3] for r in got if r[2] == k) == list(range(250))
     again = [tuple(r) for r in interleave(df.repartition(7), ["doc_id"], shards=4).collect()]
     assert sorted(got, key=str) == sorted(again, key=str)
+
+
+def test_an_id_with_several_texts_links_by_each(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "other words of no one else")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    from widerow.llm.neardup import near_duplicates
+
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_recall_of_barely_linked_pairs(spark):
+    """Of pairs with a similarity of 0.75 to 0.8 all are found."""
+    from widerow.llm.neardup import near_duplicates, shingles
+
+    rng = random.Random(11)
+    rows, pairs = [], []
+    for i in range(0, 3000, 2):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 200))]
+        other = words[: -round(len(words) * rng.uniform(0.18, 0.26))]
+        if rng.random() < 0.5:
+            at = rng.randrange(len(words))
+            other = [*words[:at], f"x{rng.randrange(10**9)}", *words[at:]]
+            other = other[: round(len(other) * rng.uniform(0.82, 0.9))]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+        x, y = (set(shingles(t.encode()).tolist()) for _, t in rows[-2:])
+        if 75 * len(x | y) <= 100 * len(x & y) <= 80 * len(x | y):
+            pairs.append((i, i + 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    component = {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()}
+    found = sum(component[a] == component[b] for a, b in pairs)
+    print(f"recall at 0.75 to 0.8: {found} of {len(pairs)}")
+    assert len(pairs) > 300 and found == len(pairs)
+
+
+def test_near_dedup_stage_keeps_one_row_of_a_group(spark):
+    text = " ".join(f"a{i}" for i in range(40))
+    rows = [(5, text), (5, text), (None, text), (None, text), (3, text + " x"), (None, "b c"),
+            (None, "b c"), (7, None), (7, None), (8, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'s' AS source", "1L AS n_chars", "'clash' AS _row"
+    )
+    got = corpus_pipeline.near_dedup(spark, df, SF_DIR).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(3, text + " x"), (None, "b c"), (7, None), (7, None), (8, ""), (None, None)], key=str
+    )

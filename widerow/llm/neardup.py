@@ -1,8 +1,8 @@
 """Near-duplicate documents by a multi-index Hamming join of MinHash signatures.
 
 A document's set holds its runs of ``WORDS`` words (its whole sequence if it has fewer).
-Documents with equal sets are one class, whose least id represents it. A signature has
-``SYMBOLS`` minimum hashes of 16 bits for the index and ``FINE`` of 8 bits for filtering.
+Documents with equal sets are one class. A signature has ``SYMBOLS`` minimum hashes of 16
+bits.
 
 The index cuts the symbols into chunks of ``CHUNK``. Two signatures that differ in fewer
 than 2 * SYMBOLS / CHUNK symbols have, by pigeonhole, a chunk with at most one error; so
@@ -13,13 +13,14 @@ meets in one with a chance above 0.999998.)
 Pairs in a bucket aren't all emitted. First every member is compared with the bucket's
 least member; most groups of copies become one component. Then buckets that still hold
 several components, in blocks of bounded size, emit pairs of different components, each
-pair in its first common bucket only. Pairs that the longer signature excludes are left
-out (of linked pairs fewer than one in 100,000, and those only where they barely are). All
-others are confirmed on the full sets: 100 * intersection >= 75 * union.
+pair in its first common bucket only. Pairs whose sizes alone exclude a link are left out;
+all others are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Documents without words, or with a null text, have an empty set, link with nothing and are
-kept. A row with a null id links with nothing. Rows that repeat an id are one document for
-linking; each gets a row of the result. An empty table gives no rows.
+kept. A row with a null id links with nothing. Rows that repeat an id each have their own
+set, so an id with several texts is in the group of each; each row gets a row of the
+result, ``component_id`` being the least id that its set reaches. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -36,13 +37,12 @@ from .components import components
 
 WORDS = 5
 SHARE = 75  # per cent of the union that the intersection must be
-SYMBOLS, CHUNK, FINE = 40, 4, 512
-MOST_FINE = 170  # 4.3 standard deviations above the mean at the least likeness
+SYMBOLS, CHUNK = 40, 4
 BLOCK = 1024
 _PAIRS = 1 << 17  # looked at together
 _CELLS = 4096  # rows of blocks handled together
 _RNG = np.random.default_rng(9)
-_FACTORS = _RNG.integers(1, 1 << 63, SYMBOLS + FINE, dtype=np.uint64) | np.uint64(1)
+_FACTORS = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHAPE = pa.struct(
     [("n_shingles", pa.int64()), ("set_hash", pa.binary()), ("signature", pa.binary())]
@@ -65,13 +65,11 @@ def shingles(raw: bytes) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> bytes:
-    """Index symbols as 16-bit numbers, then fine ones as bytes."""
+    """Symbols as 16-bit numbers."""
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(found), 256):
-        np.minimum(least, (found[k : k + 256, None] * _FACTORS).min(0), out=least)
-    mixed = least * _MIX
-    coarse = (mixed[:SYMBOLS] >> np.uint64(48)).astype(np.uint16)
-    return coarse.tobytes() + (mixed[SYMBOLS:] >> np.uint64(56)).astype(np.uint8).tobytes()
+    for k in range(0, len(found), 4096):
+        np.minimum(least, (found[k : k + 4096, None] * _FACTORS).min(0), out=least)
+    return ((least * _MIX) >> np.uint64(48)).astype(np.uint16).tobytes()
 
 
 def _signed(texts: pa.Array) -> pa.Array:
@@ -89,14 +87,13 @@ def _signed(texts: pa.Array) -> pa.Array:
     return pa.array(rows, _SHAPE)
 
 
-def _coarse(signatures: list[bytes]) -> np.ndarray:
-    parts = b"".join(s[: 2 * SYMBOLS] for s in signatures)
-    return np.frombuffer(parts, np.uint16).reshape(-1, SYMBOLS)
+def _symbols(signatures: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint16).reshape(-1, SYMBOLS)
 
 
 def _keys(signatures: pa.Array) -> pa.Array:
     """Of each signature the index keys: variant (chunk and symbol left out), symbols."""
-    symbols = _coarse(signatures.to_pylist()).astype(np.int64)
+    symbols = _symbols(signatures.to_pylist()).astype(np.int64)
     columns = []
     for variant in range(SYMBOLS):
         chunk = variant - variant % CHUNK
@@ -110,17 +107,6 @@ def _keys(signatures: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat))
 
 
-def _fine(signatures: list[bytes]) -> np.ndarray:
-    parts = b"".join(s[2 * SYMBOLS :] for s in signatures)
-    return np.frombuffer(parts, np.uint8).reshape(-1, FINE)
-
-
-def _near(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether the fine symbols differ in few enough places."""
-    x, y = _fine(a.to_pylist()), _fine(b.to_pylist())
-    return pa.array((x != y).sum(1) <= MOST_FINE)
-
-
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether sets have enough in common."""
     out = []
@@ -147,14 +133,13 @@ def _first_common(symbols: np.ndarray, variant: int, i: np.ndarray, j: np.ndarra
 
 def _cross_pairs(group: pa.Table) -> pa.Table:
     """Pairs of blocks worth confirming: of different components, in their first common
-    bucket, not excluded by sizes or signatures. A group holds the blocks of several
+    bucket, not excluded by sizes. A group holds the blocks of several
     buckets."""
     keys, low, high, ids, labels, sizes, block = (
         group[c].to_numpy()
         for c in ("key", "low", "high", "rep", "label", "n_shingles", "block")
     )
-    signatures = group["signature"].to_pylist()
-    symbols, fine = _coarse(signatures), _fine(signatures)
+    symbols = _symbols(group["signature"].to_pylist())
     order = np.lexsort((high, low, keys))
     cells = np.stack([keys[order], low[order], high[order]])
     cuts = np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(0)) + 1
@@ -173,10 +158,8 @@ def _cross_pairs(group: pa.Table) -> pa.Table:
             i, j = np.nonzero(apart & (SHARE * large <= 100 * less))
             i, j = run[i + start], run[j]
             first = _first_common(symbols, variant, i, j)
-            i, j = i[first], j[first]
-            near = (fine[i] != fine[j]).sum(1) <= MOST_FINE
-            found_a.append(ids[i[near]])
-            found_b.append(ids[j[near]])
+            found_a.append(ids[i[first]])
+            found_b.append(ids[j[first]])
     return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
 
@@ -184,25 +167,36 @@ def _udf(function, kind):
     return F.arrow_udf(function, kind)
 
 
-def _sets(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
-    """(id, set) of the documents in the pairs, one row an id."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct().toDF("id")
-    wanted = docs.join(small(ids), F.col(key) == F.col("id"))
-    packed = _udf(
-        lambda texts: pa.array(
-            [shingles(x or b"").tobytes() for x in texts.cast(pa.binary()).to_pylist()],
-            pa.binary(),
-        ),
-        T.BinaryType(),
+_SET = T.StructType(
+    [T.StructField("set", T.BinaryType()), T.StructField("of", T.BinaryType())]
+)
+
+
+def _packed(texts: pa.Array) -> pa.Array:
+    rows = []
+    for raw in texts.cast(pa.binary()).to_pylist():
+        held = shingles(raw or b"").tobytes()
+        rows.append({"set": held, "of": xxhash.xxh3_128_digest(held)})
+    return pa.array(rows, pa.struct([("set", pa.binary()), ("of", pa.binary())]))
+
+
+def _sets(docs: DataFrame, key: str, text: str, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, set) of the classes in the pairs, read from the text of their least id. An id
+    may have several texts; the set's hash tells the one that is meant."""
+    reps = pairs.select("a").union(pairs.select("b")).distinct().toDF("rep")
+    wanted = small(reps.join(classes.select("rep", "least", "set_hash"), "rep"))
+    found = docs.join(wanted, F.col(key) == F.col("least")).select(
+        "rep", "set_hash", _udf(_packed, _SET).asNondeterministic()(text).alias("p")
     )
-    return wanted.select("id", packed(text).alias("set"))
+    found = found.filter(F.col("p.of") == F.col("set_hash"))
+    return found.groupBy("rep").agg(F.first("p.set").alias("set"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of class representatives whose full sets are linked."""
-    # An id with several texts stands for one of them, the same each time.
-    sets = _sets(docs, key, text, pairs).groupBy("id").agg(F.max("set").alias("set"))
-    sets = stored(sets)
+def _confirmed(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str
+) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are linked."""
+    sets = stored(_sets(docs, key, text, pairs, classes))
     linked = _udf(_linked, T.BooleanType())
     return (
         pairs.join(sets.toDF("a", "set_a"), "a")
@@ -231,16 +225,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = (
         base.filter(F.col(key).isNotNull() & F.col("set_hash").isNotNull())
         .groupBy("set_hash")
-        .agg(F.min(key).alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "signature")))
+        .agg(
+            F.min(key).alias("least"),
+            *(F.first(c).alias(c) for c in ("n_shingles", "signature")),
+        )
+        .withColumn("rep", F.monotonically_increasing_id())  # settled by being stored
     )
     classes = stored(classes)
     members = stored(_members(classes))
-    links = _star_links(members, classes, docs, key, text)
+    links = _confirmed(stored(_star_pairs(members)), classes, docs, key, text)
     reached = components(links)
     more = _cross_links(members, classes, reached, docs, key, text)
-    reached = components(reached.toDF("a", "b").union(more))
-    found = classes.join(reached, F.col("rep") == F.col("node"), "left").select(
-        "set_hash", F.coalesce("component", "rep").alias("component_id")
+    reached = stored(components(reached.toDF("a", "b").union(more)))
+    linked = classes.select("set_hash", "rep", "least").join(
+        reached, F.col("rep") == F.col("node"), "left"
+    )
+    least = (
+        reached.join(classes.select("rep", "least"), F.col("rep") == F.col("node"))
+        .groupBy("component")
+        .agg(F.min("least").alias("component_id"))
+    )
+    found = linked.join(small(least), "component", "left").select(
+        "set_hash", F.coalesce("component_id", "least").alias("component_id")
     )
     own = fresh(base, "component_id")
     return own.join(found, "set_hash", "left").select(
@@ -253,29 +259,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(key, rep, center, n) of every member of a bucket with several."""
+    """(key, rep, size, center, n) of every member of a bucket with several; the center
+    is the least member and its size."""
     keys = _udf(_keys, T.ArrayType(T.LongType()))
-    each = classes.select("rep", F.explode(keys("signature")).alias("key"))
-    centers = each.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("n"))
+    each = classes.select(
+        "rep", F.col("n_shingles").alias("size"), F.explode(keys("signature")).alias("key")
+    )
+    centers = each.groupBy("key").agg(
+        F.min(F.struct("rep", "size")).alias("center"), F.count("*").alias("n")
+    )
     return each.join(centers.filter(F.col("n") > 1), "key")
 
 
-def _signature_of(classes: DataFrame, name: str) -> DataFrame:
-    return classes.select(F.col("rep").alias(name), F.col("signature").alias(f"s_{name}"))
-
-
-def _star_links(members, classes, docs, key, text) -> DataFrame:
-    """Links between members of a bucket and its least one."""
-    pairs = members.filter(F.col("rep") != F.col("center"))
-    pairs = pairs.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-    near = _udf(_near, T.BooleanType())
-    pairs = (
-        pairs.join(_signature_of(classes, "a"), "a")
-        .join(_signature_of(classes, "b"), "b")
-        .filter(near("s_a", "s_b"))
-        .select("a", "b")
-    )
-    return _confirmed(stored(pairs), docs, key, text)
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """Members of a bucket and its least one, where sizes allow a link."""
+    sizes = (F.col("size"), F.col("center.size"))
+    able = SHARE * F.greatest(*sizes) <= 100 * F.least(*sizes)
+    pairs = members.filter((F.col("rep") != F.col("center.rep")) & able)
+    return pairs.select(F.col("rep").alias("a"), F.col("center.rep").alias("b")).distinct()
 
 
 def _cross_links(members, classes, reached, docs, key, text) -> DataFrame:
@@ -283,7 +284,7 @@ def _cross_links(members, classes, reached, docs, key, text) -> DataFrame:
     label = F.coalesce("component", "rep")
     # The center has been compared with all, so two others are needed.
     others = stored(
-        members.filter((F.col("n") > 2) & (F.col("rep") != F.col("center")))
+        members.filter((F.col("n") > 2) & (F.col("rep") != F.col("center.rep")))
         .join(reached, F.col("rep") == F.col("node"), "left")
         .select("key", "rep", "n", label.alias("label"))
     )
@@ -304,4 +305,4 @@ def _cross_links(members, classes, reached, docs, key, text) -> DataFrame:
         .groupBy(F.pmod(F.xxhash64("key", "low", "high"), groups))
         .applyInArrow(_cross_pairs, "a long, b long")
     )
-    return _confirmed(stored(pairs), docs, key, text)
+    return _confirmed(stored(pairs), classes, docs, key, text)
