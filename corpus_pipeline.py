@@ -33,10 +33,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    docs = docs.select(COLUMNS)
-    others = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(small(others), "doc_id", "left_anti").select(COLUMNS)
+    """Of each group of near-duplicates the document with the least id stays (a null id
+    is the greatest). Rows are told apart by a number of their own, so rows that repeat an
+    id or have none are documents like others."""
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
+    found = near_duplicates(rows, "_row").select("_row", "component_id")
+    found = stored(found.join(rows.select("_row", "doc_id"), "_row"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    groups = (
+        found.groupBy("component_id")
+        .agg(F.count("*").alias("n"), F.min(order).alias("first"))
+        .filter(F.col("n") > 1)
+    )
+    others = found.join(small(groups), "component_id").filter(
+        F.col("_row") != F.col("first._row")
+    )
+    return rows.join(small(others.select("_row")), "_row", "left_anti").select(COLUMNS)
 
 
 def benchmark_decontamination(
