@@ -158,27 +158,33 @@ def test_style_tree_removes_repeated_branches(spark):
     assert all(got[i] == f"Text {i} of its own" for i in range(40))
 
 
+def plain_secrets(text):
+    """All parts of a text, and those of them that are reported, pair by pair."""
+    parts = sorted(
+        (m.start(), kind, m.end())
+        for p, kind, _ in secrets._PARTS
+        for m in re.finditer(p, text or "", re.A)
+        if (kind or len(m[2]) >= 6)
+        and (kind != 5 or (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])))
+    )
+
+    def gap(p, q):  # the code points between them, below 0 if they overlap
+        return max(p[0], q[0]) - min(p[2], q[2])
+
+    parts = [p for p in parts if p[1] != 5 or all(q[1] == 5 or gap(p, q) >= 0 for q in parts)]
+    complement = {3: (0, 2, 5), 4: (0, 2, 5), 5: (1, 3, 4)}
+    return parts, [
+        p for p in parts
+        if p[1] <= 2
+        or any(q[1] in complement[p[1]] and gap(p, q) <= secrets.SCOPE for q in parts)
+    ]
+
+
 def test_secret_spans(spark, texts):
     got = {r["doc_id"]: r for r in rows_of(spark, "op5_secret_scan")}
-    patterns = [(re.compile(p, re.A), kind) for p, kind, _ in secrets._PARTS]
-    complement = {3: (0, 2, 5), 4: (0, 2, 5), 5: (1, 3, 4)}
     for doc, text in texts:
-        parts = sorted(
-            (m.start(), kind, m.end())
-            for p, kind in patterns
-            for m in p.finditer(text or "")
-            if kind or len(m[2]) >= 6
-        )
+        parts, kept = plain_secrets(text)
         strong = [p for p in parts if p[1] <= 2]
-        parts = [
-            p for p in parts
-            if p[1] != 5 or not any(q[0] < p[2] and p[0] < q[2] for q in strong)
-        ]
-        kept = [
-            p for p in parts
-            if p[1] <= 2
-            or any(q[1] in complement[p[1]] and abs(q[0] - p[0]) <= secrets.SCOPE for q in parts)
-        ]
         assert got[doc]["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in kept)
         base = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in strong)
         assert got[doc]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
@@ -186,6 +192,42 @@ def test_secret_spans(spark, texts):
         assert [got[doc][f"n_{k}"] for k in secrets.KINDS[:3]] == [counts[k] for k in range(3)]
 
 
+def test_secret_parts_of_random_texts(spark):
+    """Parts of all kinds and lengths, apart by gaps on both sides of the scope."""
+    rng = random.Random(8)
+    bits = [
+        lambda: "secret=" + "x" * rng.randrange(4, 400), lambda: "user=bob",
+        lambda: "AKIA" + "A1" * 8, lambda: "0a" * 12, lambda: "https://h.example.org/a1" + "s" * rng.randrange(300),
+        lambda: "ann@example.com", lambda: "10.0.0.1:22", lambda: "a" * 70 + "1234567890",
+        lambda: "1" * 80 + "abc", lambda: "eyJhbGciOi1.eyJzdWIiOi2.sflKxwRJSM3", lambda: "plain words.",
+        lambda: "a-long-run-of-letters-only", lambda: "..ab12ab12ab12ab12ab12..", lambda: "\U0001f600",
+    ]
+    texts = []
+    for _ in range(300):
+        text = ""
+        for _ in range(rng.randrange(1, 5)):
+            text += rng.choice(bits)() + " " + "-" * rng.choice([0, 0, 100, 253, 254, 255, 256]) + " "
+        texts.append(text)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = secrets.find_secrets(df).collect()
+    reported = Counter()
+    for r in found:
+        expected = plain_secrets(texts[r["i"]])[1]
+        assert [(s["start"], s["kind"], s["end"]) for s in r["secrets"]] == expected
+        reported.update(k for _, k, _ in expected)
+    assert all(reported[k] for k in range(6))
+
+
+def test_whole_runs_are_candidates(spark):
+    long, reverse = "a" * 70 + "1234567890", "1234567890" * 8 + "abc"
+    token = "eyJhbGciOi1.eyJzdWIiOi2.sflKxwRJSM3"
+    texts = [f"user=bob {x}." for x in (long, reverse, token)] + ["see https://www.example.org/page1 now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = secrets.find_secrets(df)
+    cut = found.select("i", secrets.redacted(found["text"], found["secrets"]).alias("t"))
+    assert [r["t"] for r in cut.orderBy("i").collect()] == ["[REDACTED] [REDACTED]."] * 3 + texts[3:]
+
+
 def test_weak_parts_need_each_other(spark):
     texts = [
         "mail ann@example.com and key Zx81kdkQwe93LmnopQ2 here",

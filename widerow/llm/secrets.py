@@ -3,8 +3,8 @@
 Strong parts are reported wherever they are: assignments of a value to a name such as
 ``password`` (kind ``assign``), access key ids (``access``) and long hexadecimal runs
 (``hex``). Weak parts are account names and mail addresses (``identity``), addresses and
-URLs (``endpoint``) and mixed runs of letters and digits (``candidate``). A weak part alone
-is ordinary text. It is reported only when at most ``SCOPE`` code points lie between it and
+URLs (``endpoint``) and other mixed runs of letters and digits (``candidate``). A weak part
+alone is ordinary text. It is reported only when at most ``SCOPE`` code points lie between it and
 its complement: a secret for an identity or an endpoint, an identity, access key or
 endpoint for a candidate.
 
@@ -42,9 +42,10 @@ ADDRESS = (
     r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?(?![A-Za-z0-9]|\.[0-9])"
 )
 URL = r"""[a-z][a-z0-9+]{1,12}://[^\s"'<>]++"""
+# A whole run, inner dots included, so that a token of several parts is one. It counts
+# if it has a letter and a digit.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[0-9+/_=-]{0,64}[A-Za-z])"
-    r"[A-Za-z0-9+/_=-]{16,}+"
+    r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]"
 )
 
 KINDS = ("assign", "access", "hex", "identity", "endpoint", "candidate")
@@ -104,13 +105,18 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
     parts = F.slice(parts, 1, F.size(found))
     if pattern == ASSIGN:
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-        both = F.zip_with(parts, values, lambda p, v: F.struct(p.alias("p"), v.alias("v")))
-        long = F.filter(both, lambda x: F.length(x["v"]) >= 6)
-        parts = F.transform(long, lambda x: x["p"])
+        parts = _where(parts, values, lambda v: F.length(v) >= 6)
+    if pattern == CANDIDATE:
+        parts = _where(parts, found, lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]"))
     return F.when(text.rlike(pattern), parts).otherwise(F.array().cast(_PART))
 
 
-_STRONG, _SECRETS, _PLACES = (0, 1, 2), (0, 2, 5), (1, 3, 4)
+def _where(parts: Column, values: Column, holds: Callable[[Column], Column]) -> Column:
+    both = F.zip_with(parts, values, lambda p, v: F.struct(p.alias("p"), v.alias("v")))
+    return F.transform(F.filter(both, lambda x: holds(x["v"])), lambda x: x["p"])
+
+
+_OTHERS, _SECRETS, _PLACES = (0, 1, 2, 3, 4), (0, 2, 5), (1, 3, 4)
 
 
 def _around(parts: Column, kinds: tuple[int, ...]) -> Column:
@@ -148,9 +154,9 @@ def _filtered(parts: Column, *around: Column, by: Callable[..., Column]) -> Colu
 
 
 def _distinct(parts: Column) -> Column:
-    """The parts without candidates that overlap a strong part: they are that part."""
+    """The parts without candidates that overlap another part: they are that part."""
     return _filtered(
-        parts, _around(parts, _STRONG), by=lambda p, strong: (p["kind"] != 5) | (_gap(p, strong) >= 0)
+        parts, _around(parts, _OTHERS), by=lambda p, other: (p["kind"] != 5) | (_gap(p, other) >= 0)
     )
 
 
