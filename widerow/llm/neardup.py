@@ -13,8 +13,10 @@ meets in one with a chance above 0.999998.)
 Pairs in a bucket aren't all emitted. First every member is compared with the bucket's
 least member; most groups of copies become one component. Then buckets that still hold
 several components, in blocks of bounded size, emit pairs of different components, each
-pair in its first common bucket only. Pairs whose sizes alone exclude a link are left out;
-all others are confirmed on the full sets: 100 * intersection >= 75 * union.
+pair in its first common bucket only. There a bitmap of each set, of eight bits or more a
+shingle, bounds the intersection from above: each bit that only one of the two has set is
+a shingle the other lacks. Pairs that sizes or bitmaps exclude, which is certain, are left
+out; all others are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Documents without words, or with a null text, have an empty set, link with nothing and are
 kept. A row with a null id links with nothing. Rows that repeat an id each have their own
@@ -41,6 +43,7 @@ SYMBOLS, CHUNK = 40, 4
 BLOCK = 1024
 _PAIRS = 1 << 17  # looked at together
 _CELLS = 4096  # rows of blocks handled together
+_BYTES = 1 << 23  # of bitmaps looked at together
 _RNG = np.random.default_rng(9)
 _FACTORS = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -117,6 +120,41 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def bitmap(found: np.ndarray) -> bytes:
+    """A bit for each range of the hashes, set where the set has one: 8 to 16 bits a hash,
+    a power of two in all."""
+    width = max(len(found) - 1, 7).bit_length() + 3
+    bits = np.zeros(1 << width, bool)
+    bits[found >> np.uint64(64 - width)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _able(maps: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) may be linked by their bitmaps. Sizes that may be linked have
+    bitmaps of equal length, or one twice as long, which is folded."""
+    widths = np.array([len(m) for m in maps])
+    out = np.zeros(len(i), bool)
+    for width in np.unique(np.minimum(widths[i], widths[j])):
+        some = np.flatnonzero(np.minimum(widths[i], widths[j]) == width)
+        rows = np.unique(np.concatenate([i[some], j[some]]))
+        bits = np.empty((len(rows), width), np.uint8)
+        for k, row in enumerate(rows):
+            own = np.frombuffer(maps[row], np.uint8)
+            if len(own) > width:
+                own = np.packbits(np.unpackbits(own).reshape(-1, 2).any(1))
+            bits[k] = own
+        step = max(1, _BYTES // int(width))
+        for start in range(0, len(some), step):
+            at = some[start : start + step]
+            a, b = i[at], j[at]
+            x, y = bits[np.searchsorted(rows, a)], bits[np.searchsorted(rows, b)]
+            lacks = np.bitwise_count(x & ~y).sum(1, dtype=np.int64)
+            lacked = np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
+            both = np.minimum(sizes[a] - lacks, sizes[b] - lacked)
+            out[at] = (100 + SHARE) * both >= SHARE * (sizes[a] + sizes[b])
+    return out
+
+
 def _first_common(symbols: np.ndarray, variant: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs (i, j) of a variant's bucket have no earlier variant in common."""
     chunk, left_out = divmod(variant, CHUNK)
@@ -133,13 +171,14 @@ def _first_common(symbols: np.ndarray, variant: int, i: np.ndarray, j: np.ndarra
 
 def _cross_pairs(group: pa.Table) -> pa.Table:
     """Pairs of blocks worth confirming: of different components, in their first common
-    bucket, not excluded by sizes. A group holds the blocks of several
+    bucket, not excluded by sizes or bitmaps. A group holds the blocks of several
     buckets."""
     keys, low, high, ids, labels, sizes, block = (
         group[c].to_numpy()
         for c in ("key", "low", "high", "rep", "label", "n_shingles", "block")
     )
     symbols = _symbols(group["signature"].to_pylist())
+    maps = group["bits"].to_pylist()
     order = np.lexsort((high, low, keys))
     cells = np.stack([keys[order], low[order], high[order]])
     cuts = np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(0)) + 1
@@ -158,8 +197,10 @@ def _cross_pairs(group: pa.Table) -> pa.Table:
             i, j = np.nonzero(apart & (SHARE * large <= 100 * less))
             i, j = run[i + start], run[j]
             first = _first_common(symbols, variant, i, j)
-            found_a.append(ids[i[first]])
-            found_b.append(ids[j[first]])
+            i, j = i[first], j[first]
+            able = _able(maps, sizes, i, j)
+            found_a.append(ids[i[able]])
+            found_b.append(ids[j[able]])
     return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
 
@@ -180,23 +221,19 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array(rows, pa.struct([("set", pa.binary()), ("of", pa.binary())]))
 
 
-def _sets(docs: DataFrame, key: str, text: str, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(rep, set) of the classes in the pairs, read from the text of their least id. An id
-    may have several texts; the set's hash tells the one that is meant."""
-    reps = pairs.select("a").union(pairs.select("b")).distinct().toDF("rep")
+def _sets(docs: DataFrame, key: str, text: str, reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, set) of some classes, read from the text of their least id. An id may have
+    several texts; the set's hash tells the one that is meant."""
     wanted = small(reps.join(classes.select("rep", "least", "set_hash"), "rep"))
     found = docs.join(wanted, F.col(key) == F.col("least")).select(
         "rep", "set_hash", _udf(_packed, _SET).asNondeterministic()(text).alias("p")
     )
     found = found.filter(F.col("p.of") == F.col("set_hash"))
-    return found.groupBy("rep").agg(F.first("p.set").alias("set"))
+    return stored(found.groupBy("rep").agg(F.first("p.set").alias("set")))
 
 
-def _confirmed(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str
-) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are linked."""
-    sets = stored(_sets(docs, key, text, pairs, classes))
     linked = _udf(_linked, T.BooleanType())
     return (
         pairs.join(sets.toDF("a", "set_a"), "a")
@@ -233,8 +270,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     classes = stored(classes)
     members = stored(_members(classes))
-    links = _confirmed(stored(_star_pairs(members)), classes, docs, key, text)
-    reached = components(links)
+    pairs = stored(_star_pairs(members))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    reached = components(_confirmed(pairs, _sets(docs, key, text, ends, classes)))
     more = _cross_links(members, classes, reached, docs, key, text)
     reached = stored(components(reached.toDF("a", "b").union(more)))
     linked = classes.select("set_hash", "rep", "least").join(
@@ -291,18 +329,32 @@ def _cross_links(members, classes, reached, docs, key, text) -> DataFrame:
     mixed = others.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     mixed = mixed.filter(F.col("x") != F.col("y")).select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mixed = stored(others.join(mixed, "key"))
+    sets = _sets(docs, key, text, mixed.select("rep").distinct(), classes)
+    bits = _udf(
+        lambda raw: pa.array(
+            [bitmap(np.frombuffer(r, np.uint64)) for r in raw.to_pylist()], pa.binary()
+        ),
+        T.BinaryType(),
+    )
     blocked = stored(
-        others.join(mixed, "key")
+        mixed
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
         .drop("other", "n")
     )
-    groups = F.lit(blocked.count() // _CELLS + 1)
+    held = classes.select("rep", "n_shingles", "signature").join(
+        sets.select("rep", bits("set").alias("bits")), "rep"
+    )
+    held = stored(held)
+    # Groups of about so many rows and bytes.
+    long = held.agg(F.avg(F.octet_length("bits"))).first()[0] or 0
+    groups = F.lit(int(blocked.count() * max(1, long / 4096)) // _CELLS + 1)
     pairs = (
-        blocked.join(classes.select("rep", "n_shingles", "signature"), "rep")
+        blocked.join(held, "rep")
         .groupBy(F.pmod(F.xxhash64("key", "low", "high"), groups))
         .applyInArrow(_cross_pairs, "a long, b long")
     )
-    return _confirmed(stored(pairs), classes, docs, key, text)
+    return _confirmed(stored(pairs), sets)
