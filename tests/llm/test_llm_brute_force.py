@@ -104,6 +104,66 @@ def test_index_is_exact():
         assert [s for s, _ in index.nearest(query, 10, without=k)] == pytest.approx(best, abs=1e-8)
 
 
+def test_toxicity_matches_scoring_all_examples(spark, duck):
+    """Scores and evidence of the query, with plain vectors and every cosine."""
+    import regex
+
+    docs = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
+    labels = duck.sql("SELECT doc_id, toxic FROM labels WHERE toxic IN (0, 1) ORDER BY 1").fetchall()
+    words = {d: regex.findall(r"[\p{L}\p{M}\p{N}]+", (t or "").lower()) for d, t in docs.items()}
+    examples = {}
+    for d, toxic in labels:
+        if d in docs and zlib.crc32(str(d).encode()) % 5:
+            examples.setdefault((tuple(words[d]), toxic), d)
+    ids = sorted((d, toxic) for (_, toxic), d in examples.items())
+    n, positive = len(ids), sum(toxic for _, toxic in ids)
+    held, hits = Counter(), Counter()
+    for d, toxic in ids:
+        held.update(set(words[d]))
+        hits.update(set(words[d]) if toxic else ())
+    weight = {}
+    for w, k in held.items():
+        g = 0.0
+        for seen, share in ((hits[w], positive / n), (k - hits[w], 1 - positive / n)):
+            g += 2 * seen * np.log(max(seen, 1) / (k * share))
+        g = max(0.0, g)
+        least = toxicity.LEAST_WEIGHT
+        weight[w] = (np.log((1 + n) / (1 + k)) + 1) * ((g / (g + toxicity.DOUBT)) ** 2 + least)
+    unknown = (np.log(1 + n) + 1) * toxicity.LEAST_WEIGHT
+
+    def vector(d):
+        v = {w: (1 + np.log(c)) * weight.get(w, unknown) for w, c in Counter(words[d]).items()}
+        size = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / size for w, x in v.items()}
+
+    vectors = {d: vector(d) for d, _ in ids}
+    average = positive / n
+
+    def near(d, own):
+        v = vector(d)
+        found = [
+            (round(sum(x * u.get(w, 0.0) for w, x in v.items()), 9), e, toxic)
+            for e, toxic in ids if not (own and e == d) for u in [vectors[e]]
+        ]
+        return sorted((f for f in found if f[0] > 0), key=lambda f: -f[0])[: toxicity.NEIGHBOURS]
+
+    def vote(found):
+        by = [(1 / max(0.05, 1 - c), toxic) for c, _, toxic in found]
+        return (sum(w * t for w, t in by) + average) / (sum(w for w, _ in by) + 1)
+
+    votes = [(round(vote(near(d, True)), 3), toxic) for d, toxic in ids]
+    points = Counter(v for v, _ in votes)
+    at, to = isotonic([(v, k, sum(t for w, t in votes if w == v)) for v, k in points.items()])
+    for r in rows_of(spark, "op1_toxicity"):
+        found = near(r["doc_id"], False)
+        cosines = [c for c, _, _ in found]
+        got = [(e["cosine"], e["id"], e["label"]) for e in r["evidence"]]
+        assert [c for c, _, _ in got] == pytest.approx(cosines[: len(got)], abs=3e-9)
+        for c, e, toxic in got:
+            assert dict(ids)[e] == toxic
+        assert r["score"] == pytest.approx(np.interp(vote(found), at, to), abs=0.02), r["doc_id"]
+
+
 def test_rare_words_count_and_every_text_has_neighbours(spark):
     rng = random.Random(3)
     plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
@@ -456,6 +516,30 @@ def test_repeated_rows_spread(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(again, key=str)
 
 
+def test_bitmaps_never_exclude_a_link():
+    from widerow.llm import neardup
+
+    rng = np.random.default_rng(2)
+    sets, pairs = [], []
+    for _ in range(400):
+        n = int(rng.integers(1, 600))
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        keep = rng.random(n) < rng.uniform(0.5, 1)
+        more = rng.integers(0, 1 << 63, int(rng.integers(0, n // 3 + 1)), dtype=np.uint64)
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [np.unique(base), np.unique(np.concatenate([base[keep], more]))]
+    maps = [neardup.bitmap(x) if len(x) else b"\0" * 8 for x in sets]
+    sizes = np.array([len(x) for x in sets])
+    able = [(i, j) for i, j in pairs if 75 * max(sizes[i], sizes[j]) <= 100 * min(sizes[i], sizes[j])]
+    i, j = np.array(able).T
+    got = neardup._able(maps, sizes, i, j)
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in able])
+    linked = 100 * both >= 75 * (sizes[i] + sizes[j] - both)
+    far = 100 * both < 65 * (sizes[i] + sizes[j] - both)
+    assert linked.sum() > 50 and far.sum() > 20
+    assert got[linked].all() and not got[far & (sizes[i] > 50)].any()
+
+
 def test_an_id_with_several_texts_links_by_each(spark):
     a = " ".join(f"a{i}" for i in range(40))
     b = " ".join(f"b{i}" for i in range(40))

@@ -1,42 +1,42 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled documents. Groups of copies among them are
-reduced to few, lest a copied text's rare words pass for marks of its label: of examples
-that share a minimum hash of their word runs one is kept. A vector is the TF-IDF over all
-words of its text, of length 1. Words that depend on the label weigh more: with G the
-log-likelihood ratio of word and label, a word's weight is (G / (G + ``DOUBT``))^2 and
-``LEAST_WEIGHT`` on top, so that none is left out and long neutral texts aren't nearest to
-each other by chance. Words of no example have the least weight.
-
-The index is inverted: of each word the examples that hold it, and its greatest weight in
-each block of examples. A text adds up its words, common ones and then those that can
-contribute most, until what the others can add is little; then their greatest weights by block tell which
-examples can still be among its ``NEIGHBOURS`` best, and those are scored exactly. The
-result is that of scoring all examples.
+Examples are a bounded sample of labelled documents; of those with equal words and equal
+label one is kept. A vector is the TF-IDF over all words of its text, of length 1. Words
+that depend on the label weigh more: with G the log-likelihood ratio of word and label, a
+word's weight is (G / (G + ``DOUBT``))^2 and ``LEAST_WEIGHT`` on top, so that none is left
+out and long neutral texts aren't nearest to each other by chance.
+
+The index is inverted and block-max: examples alike in their heaviest words share a block,
+and of each word it knows the greatest weight in every block. Texts are looked up in
+batches. The few words that many examples hold are one product of matrices for a batch;
+its greatest entry per block and the other words' greatest weights bound what a block can
+score. The blocks with the greatest bounds are scored first, which gives a threshold, and
+of all other blocks whose bound is below it not one entry is read. The result is that of
+scoring all examples.
 
 Neighbours vote with weights that fall with their distance. A rising curve, fitted on the
 examples' own votes with each left out of its own, turns votes into the share of toxic
 documents. The nearest examples are the evidence.
 
 The index is broadcast: it holds at most ``MAX_EXAMPLES`` vectors (in expectation, as rows
-are chosen by a hash). Scoring is one pass without a shuffle; the examples' own votes are
-taken in tasks, too. A text without a word of any example has no neighbours, and its vote is
-the average example's. Null
-and empty texts have no terms. Without any example every score is 0. Equal texts get equal
-scores.
+are chosen by a hash) and ``MAX_ENTRIES`` words of vectors; where long texts exceed those,
+the rows with the least hashes stay. Scoring is one pass without a shuffle; the examples'
+own votes are taken in tasks, too. A text without a word of any example has no neighbours,
+and its vote is the average example's. Null and empty texts have no terms. Without any
+example every score is 0. Equal texts get equal scores.
 Columns of the input named like added ones are replaced.
 """
 
 from __future__ import annotations
 
 import pickle
-import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,34 +45,28 @@ from pyspark.sql import types as T
 from .common import fresh, isotonic, labelled_sample, stored
 
 MAX_EXAMPLES = 20_000
-DOUBT = 10.0  # log-likelihood ratio at which a word has a quarter of the full weight
+MAX_ENTRIES = 12_000_000  # words of all examples' vectors
+# Chosen by five-fold cross-validation within the rows that labels may be learnt from.
+DOUBT = 20.0  # log-likelihood ratio at which a word has a quarter of the full weight
 LEAST_WEIGHT = 0.01
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
 PRIOR = 1.0  # votes of the average example added to each vote
 _NEAREST = 0.05  # distances below count as this
-_WORD = re.compile(r"[^\W\d_]+")
-_KINDS = 3  # minimum hashes by which copies are found
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _HEADS = 8  # heaviest words by which examples are put in order
-_LITTLE = 0.5  # of the worst neighbour's score: what the words left may add
 _COMMON = 8  # words held by one example in so many have a whole row instead of a list
+_TOGETHER = 32  # texts looked up at once
+_SEEDS = 4  # blocks scored for the threshold
 _SLACK = 1e-5  # above the rounding errors of sums in single precision
+_PARTS = 1024  # of the hashes' range, in which rows are cut to MAX_ENTRIES
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def least_hashes(words: list[str]) -> list[int]:
-    """Minimum hashes of the runs of five words, as signed 64-bit numbers."""
-    runs = [" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))]
-    return [
-        min(xxhash.xxh3_64_intdigest(r, seed=k) for r in runs) - (1 << 63)
-        for k in range(_KINDS)
-    ]
-
-
 def _spans(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of all entries of the lists ``at``, and the lists' lengths."""
     first, sizes = starts[at], starts[at + 1] - starts[at]
@@ -122,22 +116,26 @@ class Index:
         rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
         by = np.argsort(self.terms, kind="stable")
         held, rows, weights = self.terms[by], rows[by], weights[by]
-        self.lists = np.searchsorted(held, np.arange(self.size + 1))
-        self.places, self.posted = rows.astype(np.int32), weights.astype(np.float32)
-        common = np.flatnonzero(np.diff(self.lists) * _COMMON > n)
+        number = np.bincount(held, minlength=self.size)
+        common = np.flatnonzero(number * _COMMON > n)
         self.row_of = np.full(self.size, -1)
         self.row_of[common] = np.arange(len(common))
-        self.rows = np.zeros((len(common), n), np.float32)
+        self.n_blocks = -(-n // block)
+        self.rows = np.zeros((len(common), self.n_blocks * block), np.float32)
         at = self.row_of[held]
         self.rows[at[at >= 0], rows[at >= 0]] = weights[at >= 0]
-        new = np.ones(len(by), bool)
+        held, rows, weights = held[at < 0], rows[at < 0], weights[at < 0]
+        # The lists of the other words: their entries, of a word and a block each, and
+        # the examples of every entry.
+        new = np.ones(len(held), bool)
         new[1:] = (held[1:] != held[:-1]) | (rows[1:] // block != rows[:-1] // block)
         first = np.flatnonzero(new)
-        self.block_lists = np.searchsorted(held[first], np.arange(self.size + 1))
+        self.places, self.posted = rows.astype(np.int32), weights.astype(np.float32)
+        self.lists = np.searchsorted(held[first], np.arange(self.size + 1))
+        self.entries = np.append(first, len(held))
         self.blocks = (rows[first] // block).astype(np.int32)
         self.greatest = np.maximum.reduceat(weights, first) if len(first) else weights
-        self.most = np.zeros(self.size)
-        np.maximum.at(self.most, held[first], self.greatest)
+        self._dense = np.zeros(self.size)
 
     def nearest(
         self, query: dict[int, float], k: int, without: int | None = None
@@ -146,54 +144,74 @@ class Index:
         those first in the index."""
         size = len(query)
         terms = np.fromiter(query, np.int64, size)
-        return self.search(terms, np.fromiter(query.values(), float, size), k, without)
+        weights = np.fromiter(query.values(), float, size)
+        return self.search([(terms, weights)], k, None if without is None else [without])[0]
 
     def search(
-        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | None = None
-    ) -> list[tuple[float, int]]:
-        """``nearest`` of a query given as arrays."""
-        known = terms < self.size
-        asked, asked_weights = terms, weights = terms[known], weights[known]
-        n = len(self.ids)
-        row = self.row_of[terms]
-        query = np.zeros(len(self.rows), np.float32)
-        query[row[row >= 0]] = weights[row >= 0]
-        scores = query @ self.rows
+        self,
+        queries: list[tuple[np.ndarray, np.ndarray]],
+        k: int,
+        without: list[int] | None = None,
+    ) -> list[list[tuple[float, int]]]:
+        """``nearest`` of several queries given as arrays of terms and weights."""
+        out = []
+        for start in range(0, len(queries), _TOGETHER):
+            some = [(t[t < self.size], w[t < self.size]) for t, w in queries[start : start + _TOGETHER]]
+            left_out = None if without is None else without[start : start + _TOGETHER]
+            out += self._batch(some, k, left_out)
+        return out
+
+    def _batch(self, queries, k, without):
+        common = np.zeros((len(queries), len(self.rows)), np.float32)
+        for i, (terms, weights) in enumerate(queries):
+            row = self.row_of[terms]
+            common[i, row[row >= 0]] = weights[row >= 0]
+        scores = common @ self.rows
+        scores[:, len(self.ids) :] = -np.inf  # places that fill the last block
         if without is not None:
-            scores[self.place[without]] = -np.inf
-        terms, weights = terms[row < 0], weights[row < 0]
-        most = weights * self.most[terms]
-        by = np.lexsort((terms, -most))
-        terms, weights, most = terms[by], weights[by], most[by]
-        left = np.cumsum(most[::-1])[::-1]  # what this term and those after it can add
-        at, step, worst = 0, 16, 0.0
-        while at < len(terms) and (not at or left[at] > _LITTLE * worst):
-            now = slice(at, at + step)
-            found, sizes = _spans(self.lists, terms[now])
-            added = np.repeat(weights[now], sizes) * self.posted[found]
-            scores += np.bincount(self.places[found], added, n).astype(np.float32)
-            at, step = at + len(sizes), 4 * step
-            worst = max(0.0, np.partition(scores, n - k)[n - k]) if n >= k else 0.0
-        if not len(terms) and n >= k:
-            worst = max(0.0, np.partition(scores, n - k)[n - k])
-        if at < len(terms):
-            found, sizes = _spans(self.block_lists, terms[at:])
-            added = np.repeat(weights[at:], sizes) * self.greatest[found]
-            bounds = np.bincount(self.blocks[found], added, -(-n // self.block))
-            scores += np.repeat(bounds, self.block)[:n].astype(np.float32)
-        able = np.flatnonzero((scores > 0) & (scores >= worst - _SLACK))
+            scores[np.arange(len(queries)), self.place[without]] = -np.inf
+        bounds = scores.reshape(len(queries), self.n_blocks, self.block).max(2)
+        return [self._one(*q, s, b, k) for q, s, b in zip(queries, scores, bounds)]
+
+    def _one(self, terms, weights, scores, bounds, k):
+        rare = self.row_of[terms] < 0
+        entries, sizes = _spans(self.lists, terms[rare])
+        weight = np.repeat(weights[rare], sizes)
+        block = self.blocks[entries]
+        bounds = bounds + np.bincount(block, weight * self.greatest[entries], self.n_blocks)
+        seeds = np.zeros(self.n_blocks, bool)
+        if self.n_blocks > _SEEDS:
+            seeds[np.argpartition(bounds, -_SEEDS)[-_SEEDS:]] = True
+        else:
+            seeds[:] = True
+        by_block = scores.reshape(self.n_blocks, self.block)
+        worst = 0.0
+        open_ = seeds
+        for _ in range(2):
+            # Whole blocks are scored, so what is in them is exact and can be compared.
+            chosen = open_[block]
+            found, sizes = _spans(self.entries, entries[chosen])
+            added = np.repeat(weight[chosen], sizes) * self.posted[found]
+            np.add.at(scores, self.places[found], added.astype(np.float32))
+            best = by_block[seeds].ravel()
+            if len(best) >= k:
+                worst = max(worst, float(np.partition(best, len(best) - k)[len(best) - k]))
+            open_ = ~seeds & (bounds > 0) & (bounds >= worst - _SLACK)
+            if not open_.any():
+                break
+            seeds = seeds | open_
+        able = np.flatnonzero(np.repeat(seeds, self.block) & (scores > 0) & (scores >= worst - _SLACK))
         found, sizes = _spans(self.starts, able)
-        if "_dense" not in self.__dict__:
-            self._dense = np.zeros(self.size)
         dense = self._dense
-        dense[asked] = asked_weights
+        dense[terms] = weights
         rows = np.repeat(np.arange(len(able)), sizes)
         exact = np.bincount(rows, dense[self.terms[found]] * self.weights[found], len(able))
-        dense[asked] = 0.0
+        dense[terms] = 0.0
         able, exact = able[exact > 0], np.round(exact[exact > 0], 9)
         best = np.lexsort((able, -exact))[:k]
         return [(float(s), int(p)) for s, p in zip(exact[best], self.ids[able[best]])]
 
+
 class Model:
     """Examples' ids and labels, their words' counts and weights, and the curve.
 
@@ -240,16 +258,20 @@ class Model:
         size = np.sqrt((raw * raw).sum())
         return at[at >= 0], raw[at >= 0] / size
 
-    def near(self, counts: dict[str, int]) -> list[tuple[float, int]]:
-        if not counts or not self.terms:
-            return []
-        return self.index.search(*self.vector(counts), NEIGHBOURS)
-
-    def near_example(self, k: int) -> list[tuple[float, int]]:
-        """The neighbours of an example, but for itself."""
-        own = slice(*self.index.starts[self.index.place[k] + [0, 1]])
-        terms, weights = self.index.terms[own].astype(np.int64), self.index.weights[own]
-        return self.index.search(terms, weights, NEIGHBOURS, without=k)
+    def near(self, texts: list[dict[str, int]]) -> list[list[tuple[float, int]]]:
+        """The neighbours of texts given by their words' counts."""
+        if not self.terms:
+            return [[] for _ in texts]
+        none = (np.empty(0, np.int64), np.empty(0))
+        return self.index.search([self.vector(c) if c else none for c in texts], NEIGHBOURS)
+
+    def near_examples(self, places: list[int]) -> list[list[tuple[float, int]]]:
+        """The neighbours of examples, but for themselves."""
+        queries = []
+        for k in places:
+            own = slice(*self.index.starts[self.index.place[k] + [0, 1]])
+            queries.append((self.index.terms[own].astype(np.int64), self.index.weights[own]))
+        return self.index.search(queries, NEIGHBOURS, places)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weights = [1 / max(_NEAREST, 1 - cosine) for cosine, _ in near]
@@ -280,7 +302,8 @@ def label_weights(docs: np.ndarray, hits: np.ndarray, n: int, positive: int) ->
 
 
 def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
-    """The sampled examples with their word counts, copies reduced."""
+    """The sampled examples with their word counts: of those with equal words in equal
+    order and an equal label that with the least id."""
 
     def read(texts: pa.Array) -> pa.Array:
         rows = []
@@ -289,14 +312,14 @@ def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
             counts = Counter(words)
             rows.append(
                 {
-                    "least": least_hashes(words),
+                    "same": xxhash.xxh3_128_digest(" ".join(words)),
                     "words": list(counts),
                     "counts": list(counts.values()),
                 }
             )
         shape = pa.struct(
             [
-                ("least", pa.list_(pa.int64())),
+                ("same", pa.binary()),
                 ("words", pa.list_(pa.string())),
                 ("counts", pa.list_(pa.int32())),
             ]
@@ -305,7 +328,7 @@ def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
 
     kind = T.StructType(
         [
-            T.StructField("least", T.ArrayType(T.LongType())),
+            T.StructField("same", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.StringType())),
             T.StructField("counts", T.ArrayType(T.IntegerType())),
         ]
@@ -313,11 +336,23 @@ def _examples(sample: DataFrame, key: str, text: str) -> DataFrame:
     parsed = F.arrow_udf(read, kind).asNondeterministic()(text)
     out = stored(sample.select(F.col(key).alias("id"), "_label", parsed.alias("p")))
     out = out.select("id", "_label", "p.*")
-    for k in range(_KINDS):
-        same = out.groupBy(F.col("least")[k].alias("_least"))
-        out = same.agg(F.min_by(F.struct(*out.columns), F.struct("id", "_label")).alias("e"))
-        out = out.select("e.*")
-    return stored(out.drop("least"))
+    first = out.groupBy("same", "_label").agg(F.min("id").alias("id"))
+    out = out.join(F.broadcast(first), ["same", "_label", "id"])  # MAX_EXAMPLES
+    out = stored(out.dropDuplicates(["same", "_label"]).drop("same"))
+    return _fitting(out)
+
+
+def _fitting(examples: DataFrame) -> DataFrame:
+    """The examples with the least hashes whose words together are few enough."""
+    part = F.shiftrightunsigned(F.xxhash64("id"), 64 - (_PARTS - 1).bit_length())
+    sizes = examples.groupBy(part.alias("part")).agg(F.sum(F.size("words")).alias("n"))
+    held, cut = 0, 0
+    for r in sorted(sizes.collect()):  # _PARTS
+        held += r["n"]
+        if held > MAX_ENTRIES:
+            break
+        cut = r["part"] + 1
+    return examples.filter(part < cut) if held > MAX_ENTRIES else examples
 
 
 def fit(
@@ -377,9 +412,8 @@ def _own_votes(spark: SparkSession, model: Model, n: int) -> list[float]:
     """Each example's vote with itself left out."""
 
     def read(places: pa.Array) -> pa.Array:
-        model.ready()
-        votes = (model.vote(model.near_example(k)) for k in places.to_pylist())
-        return pa.array([round(v, 3) for v in votes], pa.float64())
+        near = model.ready().near_examples(places.to_pylist())
+        return pa.array([round(model.vote(n), 3) for n in near], pa.float64())
 
     vote = F.arrow_udf(read, T.DoubleType())
     rows = spark.range(n).select("id", vote("id").alias("vote")).collect()
@@ -413,19 +447,21 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
     shape = pa.struct([("score", pa.float64()), ("evidence", evidence)])
 
-    def one(content: str) -> dict:
-        near = model.ready().near(Counter(words_of(content)))
-        return {
-            "score": model.calibrated(model.vote(near)),
-            "evidence": [
-                {"id": model.ids[k], "cosine": c, "label": model.labels[k]}
-                for c, k in near[:EVIDENCE]
-            ],
-        }
-
-    scores = F.arrow_udf(
-        lambda texts: pa.array([one(t or "") for t in texts.to_pylist()], shape), _SCORED
-    )
+    def scored(texts: pa.Array) -> pa.Array:
+        counts = [Counter(words_of(t or "")) for t in texts.to_pylist()]
+        rows = [
+            {
+                "score": model.calibrated(model.vote(near)),
+                "evidence": [
+                    {"id": model.ids[k], "cosine": c, "label": model.labels[k]}
+                    for c, k in near[:EVIDENCE]
+                ],
+            }
+            for near in model.ready().near(counts)
+        ]
+        return pa.array(rows, shape)
+
+    scores = F.arrow_udf(scored, _SCORED)
     out = fresh(docs, "score", "evidence", "_scored")
     kept = out.columns
     return out.withColumn("_scored", scores.asNondeterministic()(text)).select(
