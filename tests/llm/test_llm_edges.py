@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
 from widerow.llm import quality, toxicity  # noqa: E402
 from widerow.llm.decontaminate import decontaminate  # noqa: E402
-from widerow.llm.extract import blocks, extract  # noqa: E402
+from widerow.llm.extract import LEAST, blocks, extract  # noqa: E402
 from widerow.llm.fingerprint import containment, fingerprints  # noqa: E402
 from widerow.llm.neardup import near_duplicates  # noqa: E402
 from widerow.llm.pack import pack  # noqa: E402
@@ -175,6 +175,10 @@ def test_extract(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def content(page):
+    return [t for _, t, prior in blocks(page) if prior >= LEAST]
+
+
 def test_blocks():
     page = (
         "<body class='widget'><header>Site</header><div class='has-sidebar'>"
@@ -183,8 +187,64 @@ def test_blocks():
         "<table><tr><td>1<td>2</table><form>f</form></article>"
         "<section class=comments><article class=comment><p>c</p></article></section></div>"
     )
-    assert [t for _, t in blocks(page)] == ["Title", "One", "Two bold more", "x", "y", "1", "2"]
-    assert blocks(page)[1][0] == "/html/body/div/article.post/p"[5:]
+    assert content(page) == ["Title", "One", "Two bold more", "x", "y", "1", "2"]
+    assert [p for p, t, _ in blocks(page) if t == "One"] == ["/body/div.has.sidebar/article.post/p"]
+
+
+LINE = "Words of the main text, some of them, in a line. "
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        (f"<div class=body><p>{LINE}<p>{LINE}</div><article class=teaser>Teaser</article>",
+         [LINE, LINE, "Teaser"]),
+        (f"<div class=body><p>{LINE * 9}</div><article>Short</article>", [LINE * 9, "Short"]),
+        (f"<div class=side><p>Other</div><article>{LINE * 9}</article>", [LINE * 9]),
+        (f"<article><div class='related-work'>{LINE}</div><div class='market-share'>M</div></article>",
+         [LINE, "M"]),
+        (f"<main><section id='comment-on-policy'>{LINE}</section></main>", [LINE]),
+        (f"<div class='search-results-study'>{LINE}</div>", [LINE]),
+        ("<p title='a class=\"ad\" b'>Kept</p><p data-x=1 class='ad'>Not</p>", ["Kept"]),
+        ("<p data-class=ad>Kept</p><p CLASS = ad>Not</p><p class=\"x ad\">Not</p>", ["Kept"]),
+        (f"<form action=/><div>{LINE * 9}</div><p>{LINE}</form><footer>F</footer>", [LINE * 9, LINE]),
+        (f"<form><nav>N</nav><h1>T</h1><p>{LINE}</form>", ["T", LINE]),
+        (f"<p>{LINE * 9}<form>Your name <p>Send {LINE}</form>", [LINE * 9]),
+        (f"<aside>Menu<article><p>{LINE}</article>", [LINE]),
+        (f"<aside>Menu<article><p>{LINE}</article></aside><p>{LINE * 2}", [LINE * 2]),
+        (f"<article><p>{LINE}</article><footer>cut off", [LINE]),
+        ("<div class='nav-bar'>N</div><div class=siteHeader>H</div><ul class=social-media-links><li>S"
+         "</ul><div id=cookie-consent-banner>C</div><div class='post-comments'>C</div><p>Kept", ["Kept"]),
+        ("<div hidden>N</div><p id=hidden>Kept", ["Kept"]),
+    ],
+)
+def test_content_of_pages(page, kept):
+    assert content(page) == [" ".join(x.split()) for x in kept]
+
+
+def test_deep_nodes_are_told_apart(spark):
+    deep = "<div>" * 60
+    rows = [
+        (i, "http://h/", f"{deep}<div class=promoted>Buy it now</div><p>Text {i}</p>")
+        for i in range(20)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(r["text"] for r in extract(pages).collect()) == sorted(
+        f"Text {i}" for i in range(20)
+    )
+
+
+def test_hosts_of_all_sizes_lose_what_they_repeat(spark):
+    """The more pages a host has, the less another host's use of the branch tells."""
+    rows = []
+    for n in (5, 7, 8, 20):
+        rows += [
+            (100 * n + i, f"http://h{n}/{i}", f"<div class=follow>Follow channel {n}</div><p>Text {n} {i}")
+            for i in range(n)
+        ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert all(got[100 * n + i] == f"Text {n} {i}" for n in (5, 7, 8, 20) for i in range(n))
 
 
 def test_pipeline_stages(spark, docs, none, labels, items, tmp_path):

@@ -1,21 +1,30 @@
 """Main text of web pages by a site style tree.
 
 Each page is read into blocks of text with their style paths: the block elements around
-them, named by tag and class. The pages of one host are merged into one tree over these
-paths. A node's content importance is 1 minus the mean entropy of the texts below it over
-the host's pages: a text on one page has entropy 0, one on every page 1. The importance of
-presentation is given by what elements say they are: menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments have none, and beside an ``article``
-or ``main`` with text other branches have none. Branches below ``LEAST`` are removed from
-every page of the host.
-
-Hosts with fewer than ``ENOUGH`` different pages take the tree of all hosts together. A
-page that appears twice counts once. A page that would lose all its text keeps what its
-elements say is content.
+them, named by tag and class. All blocks but scripts and styles enter the tree: the pages
+of one host are merged over these paths. A node's importance has two sides.
+
+Content: 1 minus the mean entropy of the texts below the node over the host's pages; a
+text on one page has entropy 0, one on every page 1. Few pages tell little, so a node's
+content importance is shrunk towards that of the same path over all hosts, by the weight
+of ``SHRINK`` pages; no size of a host switches anything.
+
+Presentation: a prior between 0 and 1 from what elements say they are. Menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles and comments have 0. A class,
+id or role says so if all its parts do or are common parts of layout names: ``nav-bar``
+does, ``market-share`` doesn't. An element that swallowed the page doesn't count: a form
+around the main text, or an element that is never closed and has the article inside.
+Beside an ``article`` or ``main`` other branches have the less prior the greater its share
+of the page's text is, none from ``ENOUGH`` on.
+
+A block's importance is the least of its prior and the content importance of the nodes
+around it; it stays if that is ``LEAST`` or more. A page that would lose all its text keeps what its elements
+say is content.
 
 A null or empty page, or one without text, gives an empty text. A null URL, or one without
-a host, belongs to the host of no name. Equal pages of one host get equal texts.
-Columns of the input named like added ones are replaced.
+a host, belongs to the host of no name. A page that appears twice counts once in the tree.
+Equal pages of one host get equal texts. Columns of the input named like added ones are
+replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +33,7 @@ import re
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +41,10 @@ from pyspark.sql import types as T
 from .common import fresh, stored
 
 LEAST = 0.3
-ENOUGH = 8
-DEPTH = 32
+SHRINK = 2
+ENOUGH = 0.25
+WRAPS = 0.9  # share of the text from which a form is the page rather than a part of it
+DEPTH = 32  # names in a path; nodes further down are named by a hash of those above
 MOST_BROADCAST = 32 << 20  # bytes of removed nodes of all hosts
 
 # Fixed values of HTML and of usual class names, in alphabetical order.
@@ -52,7 +64,18 @@ _NOISE_NAMES = set(
     "recommended related respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget".split()
 )
+_LAYOUT_NAMES = set(
+    "a also area article articles b bar bars block body bottom box boxes btn bottom button "
+    "buttons by col column columns container content contents count danger desktop drop "
+    "dropdown entry feed first fixed floating follow for global google group here icon icons "
+    "info inner item items js last left lg line link links list lists local main md me media "
+    "message messages mobile more network now our outer page panel panels post posts primary "
+    "reader readers right row secondary section site slot sm sticky stories story success "
+    "text the thread title toggle top trail trigger unit units us user users warning wrap "
+    "wrapper xs your zone".split()
+)
 _MAIN = {"article", "main"}
+_CARDS = {"card", "excerpt", "preview", "teaser", "tile"}  # articles about other pages
 _UNNAMED = {"html", "body", "main"}  # their classes describe the page, not them
 #: What an opening tag closes, and within what.
 _CLOSES = {
@@ -73,47 +96,69 @@ _MARKUP = re.compile(
     re.I | re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"""(?<![\w-])(class|id|role|hidden)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
-    re.I,
+    r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?|["'=/]"""
 )
 _NAME = re.compile(r"[a-z]+")
-_ABOUT_OTHERS = re.compile(r"(?<![\w-])(?:has|no|with|without)[-_][\w-]*")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _names(attributes: str) -> tuple[str, set[str]]:
-    """The class as part of a style name, and all words of class, id and role."""
-    style, words = "", set()
+def _names(attributes: str) -> tuple[str, set[str], set[str]]:
+    """The class as part of a style name, the names in class, id and role that stand for
+    noise, and all parts of these."""
+    style, noise, words = "", set(), set()
     for m in _ATTRIBUTE.finditer(attributes):
-        kind = m[1].lower()
-        value = _ABOUT_OTHERS.sub(" ", (m[2] or m[3] or m[4] or "").lower())
+        kind = (m[1] or "").lower()
         if kind == "hidden":
-            words.add("modal")
-        found = _NAME.findall(value)
-        words.update(found)
+            noise.add("hidden")
+        if kind not in ("class", "id", "role"):
+            continue
+        value = m[2] or m[3] or m[4] or ""
+        for token in value.split():
+            parts = _NAME.findall(_HUMP.sub("-", token).lower())
+            words.update(parts)
+            known = {x for x in parts if x in _NOISE_NAMES}
+            if known and all(x in known or x in _LAYOUT_NAMES or len(x) == 1 for x in parts):
+                noise.update(known)
+        found = _NAME.findall(value.lower())
         if kind == "class" and found:
             style = "." + ".".join(found)
-    return style, words
+    return style, noise, words
+
 
+class _Element:
+    """An open or closed block element."""
 
-def blocks(html: str) -> list[tuple[str, str]]:
-    """The page's blocks of content as (style path, text), in page order. Blocks without
-    importance by what their elements are aren't among them."""
-    out: list[tuple[str, str, bool]] = []  # path, text, in main
-    # Open block elements: tag, path, whether noise, whether in main.
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    __slots__ = ("tag", "path", "main", "noise", "above", "holds", "closed")
+
+    def __init__(self, tag, path, main, noise, above):
+        self.tag, self.path, self.main = tag, path, main
+        self.noise, self.above = noise, above  # "", "tag" or "name"; the noise around it
+        self.holds, self.closed = False, False  # whether the article lies in it
+
+
+def _below(path: str, name: str) -> str:
+    if path.count("/") >= DEPTH:
+        path = "/#" + xxhash.xxh3_64_hexdigest(path)
+    return f"{path}/{name}"
+
+
+def blocks(html: str) -> list[tuple[str, str, float]]:
+    """The page's blocks as (style path, text, prior), in page order."""
+    out: list[tuple[_Element, str]] = []
+    stack = [_Element("", "", False, "", None)]
     pieces: list[str] = []
 
     def end_block() -> None:
         if pieces:
-            _, path, noise, main = stack[-1]
             text = " ".join(unescape("".join(pieces)).split())
             pieces.clear()
-            if text and not noise:
-                out.append((path, text, main))
+            if text:
+                out.append((stack[-1], text))
 
     def close(tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == tag:
+            if stack[k].tag == tag:
+                stack[k].closed = True
                 del stack[k:]
                 return
 
@@ -138,29 +183,79 @@ def blocks(html: str) -> list[tuple[str, str]]:
             continue
         if tag == "hr":
             continue
-        if stack[-1][0] == "p":
+        if stack[-1].tag == "p":
             stack.pop()
         if tag in _CLOSES:
             shut, within = _CLOSES[tag]
             k = len(stack) - 1
-            while k > 0 and stack[k][0] not in within:
-                if stack[k][0] in shut:
+            while k > 0 and stack[k].tag not in within:
+                if stack[k].tag in shut:
                     del stack[k:]
                 k -= 1
-        _, path, noise, main = stack[-1]
-        style, words = _names(m[4]) if m[4] else ("", set())
-        bad = words & _NOISE_NAMES if tag not in _UNNAMED else set()
-        if main:
-            bad -= {"header"}  # an article's own heading
-        noise = noise or bool(bad) or (tag in _NOISE and not (main and tag == "header"))
-        if len(stack) <= DEPTH:
-            path = f"{path}/{tag}{style if tag not in _UNNAMED else ''}"
-        stack.append((tag, path, noise, main or tag in _MAIN))
+        top = stack[-1]
+        style, bad, words = _names(m[4]) if m[4] else ("", set(), set())
+        if tag in _UNNAMED:
+            style, bad, words = "", set(), set()
+        if top.main:
+            bad.discard("header")  # an article's own heading
+        named = tag in _NOISE and not (top.main and tag == "header")
+        main = tag in _MAIN and not words & _CARDS
+        if main or tag == "h1":
+            above = top if top.noise else top.above
+            while above:
+                above.holds = above.holds or main or above.tag == "form"
+                above = above.above
+        stack.append(
+            _Element(
+                tag,
+                _below(top.path, tag + style),
+                top.main or main,
+                "name" if bad else "tag" if named else "",
+                top if top.noise else top.above,
+            )
+        )
     if at < len(html):
         pieces.append(html[at:])
     end_block()
-    whole = any(main for *_, main in out)
-    return [(path, text) for path, text, main in out if main or not whole]
+    return _with_priors(out)
+
+
+def _with_priors(found: list[tuple[_Element, str]]) -> list[tuple[str, str, float]]:
+    def around(element: _Element) -> set[_Element]:
+        """The noise elements around a block that haven't just swallowed the page."""
+        noise = set()
+        one = element if element.noise else element.above
+        while one:
+            swallowed = one.holds and (one.tag == "form" or not one.closed)
+            if one.noise == "name" or not swallowed:
+                noise.add(one)
+            one = one.above
+        return noise
+
+    noise: dict[_Element, set[_Element]] = {}
+    for element, _ in found:
+        if element not in noise:
+            noise[element] = around(element)
+    # A form around nearly all text that is in no other noise is the page.
+    free, within = 0, {}
+    for element, text in found:
+        own = noise[element]
+        if len(own) == 1 and (form := next(iter(own))).tag == "form" and form.noise == "tag":
+            within[form] = within.get(form, 0) + len(text)
+        free += len(text) if not own or own & within.keys() else 0
+    for form, size in within.items():
+        if size >= WRAPS * free and size >= 400:
+            for own in noise.values():
+                own.discard(form)
+    sizes = {True: 0, False: 0}
+    for element, text in found:
+        if not noise[element]:
+            sizes[element.main] += len(text)
+    share = sizes[True] / max(1, sizes[True] + sizes[False])
+    beside = max(0.0, 1 - share / ENOUGH)
+    return [
+        (e.path, text, 0.0 if noise[e] else 1.0 if e.main else beside) for e, text in found
+    ]
 
 
 def host_of(url: Column) -> Column:
@@ -173,13 +268,13 @@ def _style_blocks(pages: pa.Array) -> pa.Array:
     """Of each page the distinct (path, hash of the text) of its blocks."""
     rows = []
     for html in pages.to_pylist():
-        found = {f"{path}\t{text}" for path, text in blocks(html or "")}
+        found = {f"{path}\t{text}" for path, text, _ in blocks(html or "")}
         rows.append(sorted(found))
     return pa.array(rows, pa.list_(pa.string()))
 
 
 def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """The merged tree: host ('*' for all), node, importance, the host's pages."""
+    """The merged tree: host, node and its content importance."""
     listed = F.arrow_udf(_style_blocks, T.ArrayType(T.StringType()))
     each = pages.select(
         host_of(F.col(url)).alias("host"),
@@ -199,10 +294,14 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
     )
     sites = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("page"))
     sites = stored(sites.distinct().groupBy("host").agg(F.count("*").alias("pages")))
-    everywhere = sites.agg(F.sum("pages").alias("pages")).select(F.lit("*").alias("host"), "pages")
+    everywhere = sites.agg(F.sum("pages").alias("pages"))
     merged = counts.groupBy("path", "content").agg(F.sum("n").alias("n"))
-    merged = merged.select(F.lit("*").alias("host"), "path", "content", "n")
-    leaves = counts.union(merged).join(sites.union(everywhere), "host")
+    merged = merged.select(F.lit(None).cast("string").alias("host"), "path", "content", "n")
+    everywhere = everywhere.withColumn("host", F.lit(None).cast("string"))
+    leaves = counts.union(merged).join(
+        sites.unionByName(everywhere).withColumnRenamed("host", "site"),
+        F.col("host").eqNullSafe(F.col("site")),
+    )
     entropy = F.when(F.col("pages") > 1, F.log("n") / F.log("pages")).otherwise(F.lit(0.0))
     leaves = leaves.groupBy("host", "path").agg(
         F.sum("n").alias("n"),
@@ -215,40 +314,52 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
         lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"),
     )
     above = F.when(F.col("path") != "", above).otherwise(F.array(F.lit("")))
-    return (
+    nodes = stored(
         leaves.withColumn("node", F.explode(above))
         .groupBy("host", "node")
         .agg(
-            (1 - F.sum("e") / F.sum("n")).alias("importance"), F.max("pages").alias("pages")
+            (1 - F.sum("e") / F.sum("n")).alias("own"), F.max("pages").alias("pages")
+        )
+    )
+    shared = nodes.filter(F.col("host").isNull()).select("node", F.col("own").alias("all"))
+    weight = F.col("pages") / (F.col("pages") + SHRINK)
+    return (
+        nodes.filter(F.col("host").isNotNull())
+        .join(shared, "node")
+        .select(
+            "host", "node", (weight * F.col("own") + (1 - weight) * F.col("all")).alias("importance")
         )
     )
 
 
 def _removed(tree: DataFrame) -> DataFrame:
-    """Of each host the nodes to remove, as one array: its own if it has enough pages,
-    else those of all hosts."""
-    low = F.collect_list(F.when(F.col("importance") < LEAST, F.col("node")))
-    nodes = tree.groupBy("host").agg(low.alias("own"), F.max("pages").alias("pages"))
-    large = F.col("pages") >= ENOUGH
-    use = F.when((F.col("host") == "*") | large, F.col("host")).otherwise(F.lit("*"))
-    shared = nodes.select(F.col("host").alias("use"), F.col("own").alias("removed"))
-    return nodes.filter(F.col("host") != "*").select("host", use.alias("use")).join(shared, "use").select(
-        F.col("host").alias("_host"), "removed"
-    )
+    """Of each host its own nodes without content importance."""
+    low = tree.filter(F.col("importance") < LEAST)
+    return low.groupBy(F.col("host").alias("_host")).agg(F.collect_set("node").alias("removed"))
 
 
 def _texts(pages: pa.Array, removed: pa.Array) -> pa.Array:
     rows = []
-    for html, low in zip(pages.to_pylist(), removed.to_pylist()):
-        found = blocks(html or "")
-        if low:
-            gone = tuple(f"{node}/" for node in low)
-            kept = [(p, t) for p, t in found if not f"{p}/".startswith(gone)]
+    for html, gone in zip(pages.to_pylist(), removed.to_pylist()):
+        found = [b for b in blocks(html or "") if b[2] >= LEAST]
+        if gone:
+            low = set(gone)
+            kept = [b for b in found if not _within(b[0], low)]
             found = kept or found
-        rows.append("\n".join(text for _, text in found))
+        rows.append("\n".join(text for _, text, _ in found))
     return pa.array(rows, pa.string())
 
 
+def _within(path: str, nodes: set[str]) -> bool:
+    """Whether one of the nodes is on the path."""
+    at = path.find("/", 1)
+    while at > 0:
+        if path[:at] in nodes:
+            return True
+        at = path.find("/", at + 1)
+    return path in nodes
+
+
 def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """The pages with ``text``: the blocks left by the tree, one a line."""
     removed = stored(_removed(style_tree(pages, html, url)))
