@@ -1,7 +1,9 @@
 """Every registered query against its SQL on DuckDB, over whole tables."""
 
 import os
+import subprocess
 import sys
+import textwrap
 from pathlib import Path
 
 import duckdb
@@ -50,3 +52,27 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_core_without_the_subpackage_or_its_dependencies():
+    """Whatever of the optional part is missing, the core queries are there."""
+    script = """
+        import sys
+        sys.path.insert(0, {root!r})
+        class Missing:
+            def find_spec(self, name, path=None, target=None):
+                if name == {name!r}:
+                    raise ModuleNotFoundError(f"No module named {{name}}", name=name)
+        sys.meta_path.insert(0, Missing())
+        import __spark_entry__ as e
+        print("GOT", len(e.queries()), len(e.oracle_sql()))
+    """
+    root = str(Path(contract.__file__).parent)
+    n = len(plans.queries())
+    for name, there in (
+        ("regex", True), ("xxhash", True), ("widerow.llm", True), ("corpus_pipeline", True),
+        ("widerow.sources.base", False),
+    ):
+        code = textwrap.dedent(script.format(root=root, name=name))
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+        assert (f"GOT {n} {n}" in done.stdout) == there, (name, done.stderr[-500:])
