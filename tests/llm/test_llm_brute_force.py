@@ -586,3 +586,139 @@ def test_near_dedup_stage_keeps_one_row_of_a_group(spark):
     assert sorted(map(tuple, got), key=str) == sorted(
         [(3, text + " x"), (None, "b c"), (7, None), (7, None), (8, ""), (None, None)], key=str
     )
+
+
+def plain_sketch(text):
+    """The sorted kept hashes of a text's runs of five words, as signed numbers."""
+    import xxhash
+
+    words = re.sub(r"[ \t\n\x0b\f\r]+", " ", text).strip(" ").lower().split(" ")
+    words = [] if words == [""] else words
+    hashes = set()
+    for i in range(max(1, len(words) - 4) if words else 0):
+        h = 42
+        for w in words[i : i + 5]:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        hashes.add(h)
+    kept = {h for h in hashes if h >> 1 < int(0.25 * (1 << 63))}
+    signed = [h - (1 << 64) if h >> 63 else h for h in hashes]
+    if not kept:
+        return [min(signed)] if signed else []
+    return sorted(h - (1 << 64) if h >> 63 else h for h in kept)
+
+
+def test_fingerprints_match_plain_ones(spark, texts):
+    """All columns of the query, from the texts alone."""
+    got = {r["doc_id"]: r for r in rows_of(spark, "op7_document_fingerprints")}
+    docs = [(d, t or "") for d, t in texts]
+    assert len(got) == len(docs)
+
+    def named(sketch):
+        return ",".join(f"{h & (1 << 64) - 1:x}" for h in sketch)
+
+    def contained(a, b):
+        if not a or not b:
+            return float(not a and not b)
+        return len(set(a) & set(b)) / min(len(a), len(b))
+
+    for i, (d, text) in enumerate(docs):
+        following = docs[(i + 1) % len(docs)][1]
+        quarter = len(text) // 4
+        changed = text[: len(text) - quarter] + following[:quarter]
+        own, other, after = map(plain_sketch, (text, changed, following))
+        r = got[d]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert r["fingerprint"].lower() == named(own)
+        assert r["edited_fingerprint"].lower() == named(other)
+        assert r["near_edited"] == pytest.approx(contained(own, other))
+        assert r["near_next"] == pytest.approx(contained(own, after))
+
+
+def test_token_counts_match_greedy_cutting(spark, texts):
+    """The query's three numbers, piece by piece."""
+    known = {*tokens.load_vocabulary(VOCABULARY), tokens.END}
+    longest = max(map(len, known))
+    sizes = {}
+
+    def pieces(word):
+        left, n = word.encode().decode("latin-1") + tokens.END, 0
+        while left and left != tokens.END:
+            size = next((k for k in range(min(longest, len(left)), 0, -1) if left[:k] in known), 0)
+            if not size:
+                return None
+            left, n = left[size:], n + 1
+        return n
+
+    got = {r["doc_id"]: r for r in rows_of(spark, "op8_token_counts")}
+    for d, text in texts:
+        words = tokens.words_of(text or "")
+        for w in words:
+            if w not in sizes:
+                sizes[w] = pieces(w)
+        cut = [sizes[w] for w in words]
+        unknown = sum(n is None for n in cut)
+        assert got[d]["n_words"] == len(words) and got[d]["n_unknown"] == unknown
+        assert got[d]["n_tokens"] == sum(n or 0 for n in cut) + unknown
+
+
+def test_pipeline_stages_match_plain_rules(spark, duck):
+    """From the second stage on, what each keeps or changes of its own input."""
+    items = duck.sql("SELECT text FROM benchmark").fetchall()
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(text):
+        return word.findall((text or "").translate(lower))
+
+    windows = set()
+    for (text,) in items:
+        w = words(text)
+        windows.update(tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9) if w else 0))
+    sizes = {len(w) for w in windows}
+    held = table(spark, SF_DIR, "documents").select(corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r["text"] for r in held.collect()}
+        held = stage(spark, held, SF_DIR).cache()
+        after = {r["doc_id"]: r["text"] for r in held.collect()}
+        if name == "MinHash near-dedup":
+            sets = {}
+            for d, t in before.items():
+                w = (t or "").translate(lower).split()
+                sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4) if w else 0)}
+            least = {d: d for d in before}
+            by_run = {}
+            for d, s in sets.items():
+                for run in s:
+                    by_run.setdefault(run, []).append(d)
+            pairs = {(a, b) for ids in by_run.values() for a in ids for b in ids if a < b}
+            linked = [
+                (a, b) for a, b in pairs
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+            ]
+            for _ in range(len(linked)):
+                changed = False
+                for a, b in linked:
+                    low = min(least[a], least[b])
+                    changed |= least[a] != low or least[b] != low
+                    least[a] = least[b] = low
+                if not changed:
+                    break
+            assert after == {d: t for d, t in before.items() if least[d] == d}
+        if name == "benchmark decontamination":
+            clean = {
+                d: t for d, t in before.items()
+                if not any(
+                    tuple(w[i : i + n]) in windows
+                    for w in [words(t)] for n in sizes for i in range(len(w) - n + 1)
+                )
+            }
+            assert after == clean
+        if name == "secret scan":
+            for d, t in before.items():
+                kept, at = "", 0
+                for start, _, end in plain_secrets(t)[1]:
+                    if start >= at:
+                        kept += t[at:start] + "[REDACTED]"
+                    at = max(at, end)
+                assert after[d] == (t if t is None else kept + t[at:])

@@ -113,9 +113,11 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY
+) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_tokens(docs, VOCABULARY).drop("text")
+    return count_tokens(docs, vocabulary).drop("text")
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
