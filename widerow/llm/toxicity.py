@@ -132,9 +132,9 @@ class Index:
         first = np.flatnonzero(new)
         self.places, self.posted = rows.astype(np.int32), weights.astype(np.float32)
         self.lists = np.searchsorted(held[first], np.arange(self.size + 1))
-        self.entries = np.append(first, len(held))
+        self.entries = np.append(first, len(held)).astype(np.int32)  # MAX_ENTRIES
         self.blocks = (rows[first] // block).astype(np.int32)
-        self.greatest = np.maximum.reduceat(weights, first) if len(first) else weights
+        self.greatest = np.maximum.reduceat(self.posted, first) if len(first) else self.posted
         self._dense = np.zeros(self.size)
 
     def nearest(
@@ -412,8 +412,11 @@ def _own_votes(spark: SparkSession, model: Model, n: int) -> list[float]:
     """Each example's vote with itself left out."""
 
     def read(places: pa.Array) -> pa.Array:
-        near = model.ready().near_examples(places.to_pylist())
-        return pa.array([round(model.vote(n), 3) for n in near], pa.float64())
+        votes = []
+        for start in range(0, len(places), _TOGETHER):
+            some = places.slice(start, _TOGETHER).to_pylist()
+            votes += [round(model.vote(n), 3) for n in model.ready().near_examples(some)]
+        return pa.array(votes, pa.float64())
 
     vote = F.arrow_udf(read, T.DoubleType())
     rows = spark.range(n).select("id", vote("id").alias("vote")).collect()
@@ -448,17 +451,15 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shape = pa.struct([("score", pa.float64()), ("evidence", evidence)])
 
     def scored(texts: pa.Array) -> pa.Array:
-        counts = [Counter(words_of(t or "")) for t in texts.to_pylist()]
-        rows = [
-            {
-                "score": model.calibrated(model.vote(near)),
-                "evidence": [
+        rows = []
+        for start in range(0, len(texts), _TOGETHER):
+            some = texts.slice(start, _TOGETHER).to_pylist()
+            for near in model.ready().near([Counter(words_of(t or "")) for t in some]):
+                best = [
                     {"id": model.ids[k], "cosine": c, "label": model.labels[k]}
                     for c, k in near[:EVIDENCE]
-                ],
-            }
-            for near in model.ready().near(counts)
-        ]
+                ]
+                rows.append({"score": model.calibrated(model.vote(near)), "evidence": best})
         return pa.array(rows, shape)
 
     scores = F.arrow_udf(scored, _SCORED)
