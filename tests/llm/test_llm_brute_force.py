@@ -722,3 +722,63 @@ def test_pipeline_stages_match_plain_rules(spark, duck):
                         kept += t[at:start] + "[REDACTED]"
                     at = max(at, end)
                 assert after[d] == (t if t is None else kept + t[at:])
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 9, 10])
+def test_scanner_finds_every_window(window):
+    """Texts made of cut and joined items, against all windows at all places."""
+    from widerow.llm.decontaminate import Scanner, words_of
+
+    rng = random.Random(window)
+    items = [
+        (rng.choice([str(k), str(k), None]), " ".join(rng.choice("abcde") + rng.choice("xyz")
+         for _ in range(rng.randrange(0, 40))))
+        for k in range(60)
+    ]
+    items += items[:5]
+    scanner = Scanner(items, window)
+    windows = {}
+    for item, text in items:
+        w = text.split()
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + window]), set()).update([item] if item else [])
+    some = 0
+    for _ in range(150):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            w = rng.choice(items)[1].split()
+            a = rng.randrange(len(w) + 1)
+            text += w[a : a + rng.randrange(1, 25)] + rng.choice([[], ["other"], ["ax"]])
+        hit, names = set(), set()
+        for key, own in windows.items():
+            for i in range(len(text) - len(key) + 1):
+                if tuple(text[i : i + len(key)]) == key:
+                    hit.update(range(i, i + len(key)))
+                    names |= own
+        ranges, found = scanner.scan(words_of(" ".join(text).encode()))
+        assert {i for a, b in ranges for i in range(a, b + 1)} == hit and found == names
+        some += bool(hit)
+    assert some > 20
+
+
+def test_many_items_are_one_scan(spark, monkeypatch):
+    from widerow.llm import decontaminate as d
+
+    def refuse(df):
+        raise AssertionError("documents are stored between scans")
+
+    monkeypatch.setattr(d, "stored", refuse)
+    items = spark.range(60_000).selectExpr(
+        "id AS item_id",
+        "array_join(transform(sequence(0, 19), i -> concat('w', pmod(hash(id, i), 100000))), ' ') AS text",
+    )
+    total = items.selectExpr("sum(length(text)) AS n").first()["n"]
+    assert total > 7 << 20
+    docs = items.filter("item_id % 6000 = 7").selectExpr(
+        "item_id AS doc_id", "concat('before ', substring_index(text, ' ', 12), ' after') AS text"
+    )
+    found = d.decontaminate(docs, items)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = found.select("doc_id", "n_hit", "items").collect()
+    assert len(got) == 10
+    assert all(r["n_hit"] == 12 and r["items"] == [str(r["doc_id"])] for r in got)

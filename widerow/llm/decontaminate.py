@@ -1,15 +1,21 @@
 """Benchmark passages in documents, found by one Aho-Corasick automaton.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased: runs
-of digits, letters a-z and anything beyond ASCII. The automaton's symbols are words, its
-patterns all runs of ``window`` words of the items (an item of fewer words is one
-pattern); a text is scanned once, and word positions are mapped back to code points of
+of digits, letters a-z and anything beyond ASCII. A window is ``window`` words of an item
+in a row; an item of fewer words is one window.
+
+The automaton reads each word as two characters, the halves of its number among the
+items' words, so that no node has many children. Its patterns are the items cut into chunks of half a
+window, one after another, as any window of an item has one whole chunk in it; so it has
+two nodes per word of the items instead of some per word of each window. Where a chunk
+occurs in a text, the words around it are compared with those around it in the items, up
+to a window's length: the windows that hold the chunk occur exactly where enough of them
+are equal. A text is scanned once, and word positions are mapped back to code points of
 the text as it was.
 
-Items are a stated query set. They are scanned for in blocks of ``block_bytes`` of item
-text, so that an automaton is bounded however many items there are: each word starts at
-most one pattern, hence at most ``window`` nodes a word. One block is one pass without a
-shuffle; with more, what was found is stored between passes.
+Items are a stated query set, held by each Python worker. One scan without a shuffle takes
+up to ``block_bytes`` of item text (about 27 bytes of memory a byte); beyond that items
+come in blocks, each a scan, and what was found is stored between scans.
 
 Nulls and empty texts have no words and hit nothing, as documents and as items. Repeated
 items and documents are each reported. An item without an id marks its words as hit but
@@ -19,6 +25,8 @@ isn't listed. Columns of the documents named like added ones are replaced.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -55,37 +63,78 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 class Scanner:
-    """The automaton over the windows of some items."""
+    """The automaton over the chunks of some items."""
 
     def __init__(self, items: Iterable[tuple[str | None, str]], window: int):
         self.ids: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        owners: dict[tuple[int, ...], set[str]] = {}  # by words: equal items are one
         for item, text in items:
             words = tuple(
                 self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text.encode())
             )
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                own = owners.setdefault(words[i : i + window], set())
-                if item is not None:
-                    own.add(item)
+            if words:
+                owners.setdefault(words, set()).update(() if item is None else (item,))
+        chunk = (window + 1) // 2
+        self.around = window - chunk  # words of a window beside a chunk
+        self.window = window
         self.owners = list(owners.values())
-        self.automaton = ahocorasick.Automaton(
-            ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE
-        )
-        for k, key in enumerate(owners):
-            self.automaton.add_word(key, (len(key), k))
-        if owners:
+        self.words = array("i")  # of all items, one after another
+        self.starts = array("i", [0])
+        places: dict[tuple[int, ...], list[int]] = {}  # of patterns
+        for words in owners:
+            at = len(self.words)
+            self.words.extend(words)
+            self.starts.append(len(self.words))
+            if len(words) < window:
+                places.setdefault(words, []).append(at)
+            else:
+                for i in range(0, len(words) - chunk + 1, chunk):
+                    places.setdefault(words[i : i + chunk], []).append(at + i)
+        half = ((len(self.ids) + 1).bit_length() + 1) // 2
+        low = (1 << half) - 1
+        # The halves have characters of their own, so matches start and end with words.
+        codes = [chr(k & low) + chr((1 << half) + (k >> half)) for k in range(len(self.ids) + 1)]
+        self.codes = {w: codes[k] for w, k in self.ids.items()}
+        self.unknown = codes[0]
+        self.automaton = ahocorasick.Automaton()
+        for key, found in places.items():
+            code = "".join(map(codes.__getitem__, key))
+            self.automaton.add_word(code, (len(key), array("i", found)))
+        self.empty = not places
+        if places:
             self.automaton.make_automaton()
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Ranges of hit words, merged, and the items whose windows occur."""
-        if not self.owners or not words:
+        if self.empty or not words:
             return [], set()
-        symbols = tuple(map(self.ids.get, words, repeat(0)))
-        ranges, seen = [], set()
-        for last, (length, k) in self.automaton.iter(symbols):
-            seen.add(k)
-            ranges.append((last - length + 1, last))
+        code = "".join(map(self.codes.get, words, repeat(self.unknown)))
+        symbols: list[int] | None = None
+        ranges, seen = set(), set()
+        for end_at, (length, places) in self.automaton.iter(code):
+            if symbols is None:
+                symbols = list(map(self.ids.get, words, repeat(0)))
+            last = end_at // 2
+            first = last - length + 1
+            for place in places:
+                item = bisect_right(self.starts, place) - 1
+                start, end = self.starts[item], self.starts[item + 1]
+                if end - start < self.window:
+                    if length == end - start:
+                        ranges.add((first, last))
+                        seen.add(item)
+                    continue
+                before = min(self.around, first, place - start)
+                left = 0
+                while left < before and symbols[first - left - 1] == self.words[place - left - 1]:
+                    left += 1
+                after = min(self.around, len(symbols) - last - 1, end - place - length)
+                right = 0
+                while right < after and symbols[last + right + 1] == self.words[place + length + right]:
+                    right += 1
+                if left + right >= self.around:
+                    ranges.add((first - left, last + right))
+                    seen.add(item)
         return merged(ranges), set().union(*(self.owners[k] for k in seen))
 
 
@@ -162,7 +211,7 @@ def decontaminate(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = 10,
-    block_bytes: int = 1 << 20,
+    block_bytes: int = 24 << 20,
 ) -> DataFrame:
     """The documents with ``n_words``, ``n_hit``, ``hit_spans`` (code points, end
     exclusive), ``items`` (ids of the items found, as sorted texts) and
