@@ -68,7 +68,7 @@ def some(spark, n, rows, at=0, cf="Standard1"):
 
 
 def files(path):
-    found = Path(path).rglob("part-*.parquet")
+    found = Path(path.removeprefix("file:")).rglob("part-*.parquet")
     return {str(f): f.stat().st_size for f in found}
 
 
@@ -143,6 +143,14 @@ def test_an_opened_base_is_the_same(spark, base, tmp_path):
         open_base(spark, str(tmp_path / "none"))
 
 
+def test_a_relative_path(spark, tmp_path):
+    """Readers and the table mean the same folder."""
+    here = os.path.relpath(tmp_path / "base")
+    open_base(spark, here, 2).merge(some(spark, 20, 5))
+    assert open_base(spark, str(tmp_path / "base")).scan().count() == 20
+    assert files(str(tmp_path / "base"))
+
+
 def test_nulls_and_odd_names_in_a_base(spark, base):
     odd = spark.createDataFrame(
         [("k'1", "c=f", None, None, "a", "1", 1), ("k'1", "c=f", "", None, None, None, None)],

@@ -101,7 +101,7 @@ class CellBase:
 def open_base(spark: SparkSession, path: str, buckets: int | None = None) -> CellBase:
     """The base at a path. ``buckets`` is needed to make a new one, and can't be changed;
     an existing one knows its own."""
-    path = path.rstrip("/")
+    path = _qualified(spark, path)
     known = _known_buckets(spark, path)
     if known is None:
         if buckets is None or buckets < 1:
@@ -125,6 +125,14 @@ def open_base(spark: SparkSession, path: str, buckets: int | None = None) -> Cel
     return CellBase(spark, path, known, table)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that a relative one means the same to readers
+    and to the table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(folder).toString().rstrip("/")
+
+
 def _known_buckets(spark: SparkSession, path: str) -> int | None:
     layout = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_LAYOUT}")
     files = layout.getFileSystem(spark._jsc.hadoopConfiguration())
