@@ -146,10 +146,101 @@ FROM coded JOIN total ON coded.label IS NOT DISTINCT FROM total.label"""
     return ",\n".join(steps)
 
 
+def _op12() -> str:
+    """The damage by a checksum built from its rule, the cheapest edits by a recursion over
+    rows with the least (cost, audit) of each state (0 start, 1 after s, 2 after u, 3 after
+    a), and the repaired lines from the audit's letters."""
+    step = "i"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda c: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)[1]"
+    return rf"""
+WITH RECURSIVE sums AS MATERIALIZED (
+  SELECT list_transform(CAST(range(0, 256) AS BIGINT[]), lambda i: {step}) AS t
+), raw AS (
+  SELECT *, encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS key
+  FROM conversations
+), hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(range(1, octet_length(key) + 1),
+      lambda i: CAST(('0x' || hex(key)[2 * i - 1 : 2 * i]) AS BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+  FROM raw, sums
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed
+), placed AS (
+  SELECT conv_id, turn, role, text, role[1:1] AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_extract(text, '([^ 	-])[ 	-]*\z', 1) AS shown
+  FROM damaged
+), judged AS MATERIALIZED (
+  SELECT *, CASE WHEN shown = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN shown NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair
+  FROM placed
+), number AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+), gap(p, q, price, letters) AS (
+  VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'),
+    (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')
+), move(p, symbol, q) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), edit AS MATERIALIZED (
+  SELECT conv_id, i, p, p AS q, 2 AS price, 'D' AS letter FROM judged, (VALUES (0), (1), (2), (3)) AS x(p)
+  UNION ALL
+  SELECT conv_id, i, p, q, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K'
+  FROM judged JOIN move ON symbol = c WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, p, q, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R'
+  FROM judged JOIN move ON symbol IN ('u', 'a') WHERE fault NOT IN ('blank', 'duplicate')
+), best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit FROM number
+  UNION ALL
+  SELECT conv_id, i, q, least.cost, least.audit FROM (
+    SELECT b.conv_id, e.i, e.q, min({{'cost': b.cost + g.price + e.price, 'audit': b.audit || g.letters || e.letter}}) AS least
+    FROM best b JOIN gap g ON g.p = b.state
+      JOIN edit e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.i = b.i + 1 AND e.p = g.q
+    GROUP BY b.conv_id, e.i, e.q)
+), final AS MATERIALIZED (
+  SELECT n.conv_id, min({{'cost': cost + price, 'audit': audit || letters}}) AS least
+  FROM number n JOIN best b ON n.conv_id IS NOT DISTINCT FROM b.conv_id AND n.n = b.i
+    JOIN gap g ON g.p = b.state AND g.q IN (0, 3)
+  GROUP BY n.conv_id
+), letter AS (
+  SELECT conv_id, j, l, count(*) FILTER (l <> 'I') OVER w AS i, count(*) FILTER (l <> 'D') OVER w AS k,
+    count(*) FILTER (l <> 'D') OVER (PARTITION BY conv_id) AS m
+  FROM (SELECT conv_id, unnest(range(1, length(least.audit) + 1)) AS j, least.audit[j:j] AS l FROM final)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), line AS (
+  SELECT l.conv_id, string_agg(CASE WHEN l = 'K' THEN role
+      WHEN (k + m) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN l = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS lines
+  FROM letter l JOIN judged r ON l.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = greatest(l.i, 1)
+  WHERE l <> 'D' GROUP BY l.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(least.cost, 0) AS cost, coalesce(least.audit, '') AS audit,
+  sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN number n ON c.conv_id IS NOT DISTINCT FROM n.conv_id
+  LEFT JOIN final f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+  LEFT JOIN line l ON c.conv_id IS NOT DISTINCT FROM l.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_benchmark_decontamination": OP4,
         "op9_minhash_near_dedup": OP9,
         "op11_vector_code_compression": _op11(),
+        "op12_conversation_structure_repair": _op12(),
         "op13_embedding_near_dedup": OP13,
     }
