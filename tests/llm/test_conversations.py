@@ -125,6 +125,7 @@ def test_repair_matches_search(spark, monkeypatch, run):
 
 def test_a_long_conversation_is_split(spark, monkeypatch):
     monkeypatch.setattr(conversations, "RUN", 16)
+    monkeypatch.setattr(conversations, "RUN_CHARS", 300)
     rows = random_rows(7, 3, 6) + [(99, *r[1:]) for r in random_rows(8, 1, 2000)]
     rows += [(99, i, "user", f"Q{i}?") for i in range(700)]
     assert got(spark, rows) == expected(rows)

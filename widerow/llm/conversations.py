@@ -15,8 +15,8 @@ audits over the same rows none is a prefix of another, as it would differ by ins
 which cost, so what follows can't change their order.
 
 No conversation has to fit one task. Rows are range-partitioned by conversation and turn;
-a task walks its sorted rows and parses runs of at most ``RUN`` rows of a conversation. A
-run with the whole conversation is finished there. Others are parsed once from each stack
+a task walks its sorted rows and parses runs of at most ``RUN`` rows of a conversation
+(fewer if their texts are long). A run with the whole conversation is finished there. Others are parsed once from each stack
 that may lie below, which gives, for each stack before and after, the least (cost, audit).
 Those are joined in order per conversation, without texts, and the runs' rows are then
 edited by the audit chosen for them. Equal rows are counted first and travel as one. Only
@@ -44,7 +44,7 @@ RULES = [("S", ""), ("S", "T"), ("T", "ua"), ("T", "sua"), ("T", "Tua")]
 ROLES = {"u": "user", "a": "assistant"}
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 KEEP_IT, BLANK, DUPLICATE, CUT = 0, 1, 2, 3  # a row's first fault
-RUN = 1024
+RUN, RUN_CHARS = 1024, 1 << 22  # rows of a run; characters after which it ends
 
 Stack = tuple[int, ...]
 Best = tuple[int, str]  # cost, audit
@@ -277,14 +277,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = to_arrow_schema(_RUN)
     out: list[dict] = []
     conv, task, run, held, first = None, 0, 0, [], True
+    size = waiting = 0  # characters in held, in out
 
     def flush(last: bool, ends: bool) -> None:
-        nonlocal held, run
+        nonlocal held, run, size, waiting
         if held:
             whole = ends and run == 0 and not first and not last
             out.append(_run(conv, (task, run), held, whole))
             run += 1
-        held = []
+        waiting += size
+        held, size = [], 0
 
     for batch in batches:
         names = ("conv", "task", "role", "text", "fault", "n")
@@ -293,12 +295,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flush(False, True)
                 first = conv is None
                 conv, task, run = row[0], row[1], 0
-            elif len(held) == RUN:
+            elif len(held) == RUN or size > RUN_CHARS:
                 flush(False, False)
             held.append(row[2:])
-        if len(out) >= 256:
-            yield pa.RecordBatch.from_pylist(out, kinds)
-            out = []
+            size += len(row[3])
+            if len(out) >= 256 or waiting > RUN_CHARS:
+                yield pa.RecordBatch.from_pylist(out, kinds)
+                out, waiting = [], 0
     flush(True, True)
     if out:
         yield pa.RecordBatch.from_pylist(out, kinds)

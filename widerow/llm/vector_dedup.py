@@ -89,6 +89,8 @@ def _fitted(sample: DataFrame, k: int, width: int) -> np.ndarray:
     """Centers after some rounds on the sample; sums come from the tasks. Which centers
     come out affects the work only, not the result."""
     first = sample.orderBy(hash_order(F.col("node"))).limit(k).select("unit").collect()
+    if len(first) < 2:
+        return np.empty((0, width))
     centers = np.array([np.frombuffer(r["unit"], np.float64) for r in first])
 
     def sums(batches: Iterator[pa.RecordBatch], centers: np.ndarray) -> Iterator[pa.RecordBatch]:
