@@ -42,10 +42,11 @@ ADDRESS = (
     r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?(?![A-Za-z0-9]|\.[0-9])"
 )
 URL = r"""[a-z][a-z0-9+]{1,12}://[^\s"'<>]++"""
-# A whole run, inner dots included, so that a token of several parts is one. It counts
-# if it has a letter and a digit.
+# A whole run, dots included but for those at its end, so that a token of several parts is
+# one. It has a letter and a digit; each look goes over the run once.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]"
+    r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*+[0-9])(?=[0-9+/_.=-]*+[A-Za-z])"
+    r"[A-Za-z0-9+/_.=-]{15,}[A-Za-z0-9+/_=-]"
 )
 
 KINDS = ("assign", "access", "hex", "identity", "endpoint", "candidate")
@@ -105,17 +106,12 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
     parts = F.slice(parts, 1, F.size(found))
     if pattern == ASSIGN:
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-        parts = _where(parts, values, lambda v: F.length(v) >= 6)
-    if pattern == CANDIDATE:
-        parts = _where(parts, found, lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]"))
+        both = F.zip_with(parts, values, lambda p, v: F.struct(p.alias("p"), v.alias("v")))
+        long = F.filter(both, lambda x: F.length(x["v"]) >= 6)
+        parts = F.transform(long, lambda x: x["p"])
     return F.when(text.rlike(pattern), parts).otherwise(F.array().cast(_PART))
 
 
-def _where(parts: Column, values: Column, holds: Callable[[Column], Column]) -> Column:
-    both = F.zip_with(parts, values, lambda p, v: F.struct(p.alias("p"), v.alias("v")))
-    return F.transform(F.filter(both, lambda x: holds(x["v"])), lambda x: x["p"])
-
-
 _OTHERS, _SECRETS, _PLACES = (0, 1, 2, 3, 4), (0, 2, 5), (1, 3, 4)
 
 
