@@ -323,3 +323,31 @@ def test_pieces_hold_no_row(spark):
     cells = some(spark, 500, 70)
     for pieces in (name_pieces(cells, STD, True), map_pieces(cells, STD, True)):
         assert "collect" not in plan(pieces) and plan(pieces).count("Exchange") == 1
+
+
+def test_a_row_larger_than_the_heap_is_one_line(tmp_path):
+    script = f"""
+        import sys
+        sys.path.insert(0, {ROOT!r})
+        from pyspark.sql import SparkSession, functions as F
+        from widerow import *
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+                 .config("spark.driver.memory", "512m").config("spark.local.dir", {str(tmp_path)!r})
+                 .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+        spark.sparkContext.setLogLevel("OFF")
+        name = "concat(lpad(id, 10, '0'), repeat(sha2(id, 512), 8))"
+        cells = spark.range(0, 600_000, 1, 8).selectExpr(
+            "'Keyspace1' AS keyspace", "'Standard1' AS cf", "'hot' AS row_key",
+            "cast(null AS string) AS super", f"substr({{name}}, 1, 1000) AS name", "'1' AS value",
+            "1L AS ts")
+        write_pieces(name_pieces(cells, FamilySpec(), reconciled=True), {str(tmp_path / "out")!r})
+    """
+    done = subprocess.run(
+        [sys.executable, "-c", textwrap.dedent(script)], capture_output=True, text=True, timeout=280
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    (out,) = (tmp_path / "out").glob("part-*")
+    assert out.stat().st_size == len("hot\t") + 600_000 * 1001
+    with out.open("rb") as f:
+        assert f.read(14) == b"hot\t0000000000"
+        assert not any(b"\n" in block for block in iter(lambda: f.read(1 << 24), b""))
