@@ -11,8 +11,9 @@ and of each word it knows the greatest weight in every block. Texts are looked u
 batches. The few words that many examples hold are one product of matrices for a batch;
 its greatest entry per block and the other words' greatest weights bound what a block can
 score. The blocks with the greatest bounds are scored first, which gives a threshold, and
-of all other blocks whose bound is below it not one entry is read. The result is that of
-scoring all examples.
+of all other blocks whose bound is below it not one entry is read. In the rest, words that
+together can add little are left to their bounds, and the few examples that can still be
+among the best are scored exactly. The result is that of scoring all examples.
 
 Neighbours vote with weights that fall with their distance. A rising curve, fitted on the
 examples' own votes with each left out of its own, turns votes into the share of toxic
@@ -50,7 +51,7 @@ MAX_ENTRIES = 12_000_000  # words of all examples' vectors
 DOUBT = 20.0  # log-likelihood ratio at which a word has a quarter of the full weight
 LEAST_WEIGHT = 0.01
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 256
 EVIDENCE = 3
 PRIOR = 1.0  # votes of the average example added to each vote
 _NEAREST = 0.05  # distances below count as this
@@ -58,7 +59,8 @@ _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _HEADS = 8  # heaviest words by which examples are put in order
 _COMMON = 8  # words held by one example in so many have a whole row instead of a list
 _TOGETHER = 32  # texts looked up at once
-_SEEDS = 4  # blocks scored for the threshold
+_SEEDS = 2  # blocks scored for the threshold
+_LITTLE = 0.1  # of the threshold: what the words left to their bounds may add
 _SLACK = 1e-5  # above the rounding errors of sums in single precision
 _PARTS = 1024  # of the hashes' range, in which rows are cut to MAX_ENTRIES
 
@@ -135,6 +137,10 @@ class Index:
         self.entries = np.append(first, len(held)).astype(np.int32)  # MAX_ENTRIES
         self.blocks = (rows[first] // block).astype(np.int32)
         self.greatest = np.maximum.reduceat(self.posted, first) if len(first) else self.posted
+        self.most = np.zeros(self.size)
+        held = np.flatnonzero(np.diff(self.lists))
+        if len(held):
+            self.most[held] = np.maximum.reduceat(self.greatest, self.lists[held])
         self._dense = np.zeros(self.size)
 
     def nearest(
@@ -175,32 +181,35 @@ class Index:
 
     def _one(self, terms, weights, scores, bounds, k):
         rare = self.row_of[terms] < 0
-        entries, sizes = _spans(self.lists, terms[rare])
-        weight = np.repeat(weights[rare], sizes)
+        rare, by = terms[rare], weights[rare]
+        entries, sizes = _spans(self.lists, rare)
+        weight = np.repeat(by, sizes)
         block = self.blocks[entries]
-        bounds = bounds + np.bincount(block, weight * self.greatest[entries], self.n_blocks)
+        greatest = weight * self.greatest[entries]
+        bounds = bounds + np.bincount(block, greatest, self.n_blocks)
+        # Blocks with the greatest bounds are scored whole, for a threshold.
         seeds = np.zeros(self.n_blocks, bool)
-        if self.n_blocks > _SEEDS:
-            seeds[np.argpartition(bounds, -_SEEDS)[-_SEEDS:]] = True
-        else:
-            seeds[:] = True
+        seeds[np.argsort(-bounds)[:_SEEDS]] = True
+        self._add(scores, entries, weight, seeds[block])
         by_block = scores.reshape(self.n_blocks, self.block)
-        worst = 0.0
-        open_ = seeds
-        for _ in range(2):
-            # Whole blocks are scored, so what is in them is exact and can be compared.
-            chosen = open_[block]
-            found, sizes = _spans(self.entries, entries[chosen])
-            added = np.repeat(weight[chosen], sizes) * self.posted[found]
-            np.add.at(scores, self.places[found], added.astype(np.float32))
-            best = by_block[seeds].ravel()
-            if len(best) >= k:
-                worst = max(worst, float(np.partition(best, len(best) - k)[len(best) - k]))
-            open_ = ~seeds & (bounds > 0) & (bounds >= worst - _SLACK)
-            if not open_.any():
-                break
-            seeds = seeds | open_
-        able = np.flatnonzero(np.repeat(seeds, self.block) & (scores > 0) & (scores >= worst - _SLACK))
+        worst = _kth(by_block[seeds].ravel(), k)
+        # In the other blocks that can reach it, words that together add little are left
+        # to their bounds.
+        open_ = ~seeds & (bounds > 0) & (bounds >= worst - _SLACK)
+        if open_.any():
+            most = by * self.most[rare]
+            order = np.argsort(most)
+            little = np.empty(len(rare), bool)
+            little[order] = np.cumsum(most[order]) <= _LITTLE * worst
+            little = np.repeat(little, sizes)
+            here = open_[block]
+            self._add(scores, entries, weight, here & ~little)
+            left = np.bincount(block[here & little], greatest[here & little], self.n_blocks)
+            worst = max(worst, _kth(by_block[seeds | open_].ravel(), k))
+            by_block += left[:, None].astype(np.float32)
+        able = np.flatnonzero(
+            np.repeat(seeds | open_, self.block) & (scores > 0) & (scores >= worst - _SLACK)
+        )
         found, sizes = _spans(self.starts, able)
         dense = self._dense
         dense[terms] = weights
@@ -211,6 +220,20 @@ class Index:
         best = np.lexsort((able, -exact))[:k]
         return [(float(s), int(p)) for s, p in zip(exact[best], self.ids[able[best]])]
 
+    def _add(self, scores, entries, weight, chosen) -> None:
+        """Adds what the chosen entries of words hold to the scores."""
+        at = np.flatnonzero(chosen)
+        found, sizes = _spans(self.entries, entries[at])
+        added = np.repeat(weight[at], sizes) * self.posted[found]
+        scores += np.bincount(self.places[found], added, len(scores)).astype(np.float32)
+
+
+def _kth(scores: np.ndarray, k: int) -> float:
+    """The k-th best score above 0; 0 if there are fewer."""
+    if len(scores) < k:
+        return 0.0
+    return max(0.0, float(np.partition(scores, len(scores) - k)[len(scores) - k]))
+
 
 class Model:
     """Examples' ids and labels, their words' counts and weights, and the curve.
