@@ -179,14 +179,16 @@ def damaged(turns: DataFrame) -> DataFrame:
 
 def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    done = repair(damaged(turns)).withColumn("conv", group_key("conv_id")).drop("conv_id")
-    convs = turns.select("conv_id").distinct().withColumn("conv", group_key("conv_id"))
     numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    done = repair(damaged(turns)).select(
+        group_key("conv_id").alias("conv"), *numbers, "audit", F.sha2("repaired", 256).alias("sha")
+    )
+    convs = turns.select("conv_id").distinct().withColumn("conv", group_key("conv_id"))
     return convs.join(done, "conv", "left").select(
         "conv_id",
         *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers),
         F.coalesce("audit", F.lit("")).alias("audit"),
-        F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"),
+        F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
 
 
