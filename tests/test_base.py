@@ -335,7 +335,7 @@ def test_a_row_larger_than_the_heap_is_one_line(tmp_path):
                  .config("spark.driver.memory", "512m").config("spark.local.dir", {str(tmp_path)!r})
                  .config("spark.sql.shuffle.partitions", "4").getOrCreate())
         spark.sparkContext.setLogLevel("OFF")
-        name = "concat(lpad(id, 10, '0'), repeat(sha2(id, 512), 8))"
+        name = "concat(lpad(cast(id AS string), 10, '0'), repeat(sha2(cast(id AS string), 512), 8))"
         cells = spark.range(0, 600_000, 1, 8).selectExpr(
             "'Keyspace1' AS keyspace", "'Standard1' AS cf", "'hot' AS row_key",
             "cast(null AS string) AS super", f"substr({{name}}, 1, 1000) AS name", "'1' AS value",
