@@ -91,6 +91,8 @@ def test_base_reads_without_a_shuffle(spark, base):
         dump_super_map(supers, SUP, max_super=2),
         reconcile(cells, STD),
         reconcile(base.scan()),
+        name_pieces(cells, STD, reconciled=True),
+        map_pieces(cells, STD, reconciled=True),
     ]
     plain = reconcile(some(spark, 400, 60), STD)
     for df in plans:
