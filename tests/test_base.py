@@ -14,6 +14,7 @@ from widerow import (
     FamilySpec,
     append_cells,
     append_stream,
+    buckets_for,
     compact,
     dump_column_names,
     dump_map,
@@ -36,6 +37,9 @@ from widerow import (
     write_pieces,
 )
 
+from widerow.plans import queries as plan_queries
+from widerow.sources import base as sources_base
+
 STD = FamilySpec()
 SUP = FamilySpec(cf="Super1", is_super=True)
 ROOT = str(Path(__file__).resolve().parents[1])
@@ -353,3 +357,42 @@ def test_a_row_larger_than_the_heap_is_one_line(tmp_path):
     with out.open("rb") as f:
         assert f.read(14) == b"hot\t0000000000"
         assert not any(b"\n" in block for block in iter(lambda: f.read(1 << 24), b""))
+
+
+def test_buckets_follow_the_size_of_the_cells(spark, monkeypatch):
+    cells = some(spark, 2000, 100)
+    monkeypatch.setattr(sources_base, "BUCKET_BYTES", 100_000)
+    n, more = buckets_for(cells), buckets_for(cells.union(cells).union(cells))
+    assert 2000 * 128 / 100_000 < n < 10 and 3 * n - 3 < more <= 3 * n
+    assert buckets_for(cells, least=50) == 50 and buckets_for(cells.limit(0)) == 1
+    unknown = cells.withColumn("value", F.lit(None).cast("string"))
+    assert 2 < buckets_for(unknown) <= n
+
+
+@pytest.mark.parametrize("name", ["base_column_names", "base_dump_map", "base_merge",
+                                  "base_super_map_first", "base_with_deltas"])
+def test_bases_of_queries_have_buckets_for_their_tables(spark, tmp_path, monkeypatch, name):
+    items = spark.range(600).selectExpr(
+        "id % 90 AS l_orderkey", "id % 40 AS l_partkey", "id % 7 AS l_suppkey")
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(600).selectExpr(
+        "id AS event_id", "id % 50 AS user_id", "concat('t', id % 3) AS event_type",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS ts",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(600).selectExpr(
+        "id AS o_orderkey", "id % 30 AS o_custkey", "'1-URGENT' AS o_orderpriority",
+        "'O' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    made = []
+
+    def opened(*args):
+        made.append(open_base(*args))
+        return made[-1]
+
+    monkeypatch.setattr(plan_queries, "open_base", opened)
+    run = plan_queries.queries()[name]
+    before = sorted(map(tuple, run(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(sources_base, "BUCKET_BYTES", 2000)
+    after = sorted(map(tuple, run(spark, str(tmp_path)).collect()))
+    assert before == after and before
+    assert made[0].buckets == plan_queries.BUCKETS < made[1].buckets

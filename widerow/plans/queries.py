@@ -16,6 +16,7 @@ from .. import (
     FamilySpec,
     append_cells,
     append_stream,
+    buckets_for,
     compact,
     discard,
     dump_column_names,
@@ -501,7 +502,7 @@ def q_long_name_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BUCKETS = 16  # of the bases below
+BUCKETS = 16  # of the bases below at least
 
 
 def _event_batches(spark: SparkSession, sf_dir: str) -> str:
@@ -520,10 +521,15 @@ def _event_batches(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _new_base(spark: SparkSession, cells: DataFrame):
+    """An empty base for so many cells."""
+    return open_base(spark, shared_folder(spark), buckets_for(cells, BUCKETS))
+
+
 def q_base_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A base made of the first batch, with two more merged into it."""
     batches = _event_batches(spark, sf_dir)
-    base = open_base(spark, shared_folder(spark), BUCKETS)
+    base = _new_base(spark, scan_batches(spark, batches))
     for batch in ("2024-01-01", "2024-01-02", "2024-01-03"):
         base.merge(scan_batches(spark, batches, first=batch, last=batch))
     return base.scan(EVENTS).select(STANDARD)
@@ -532,14 +538,14 @@ def q_base_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_base_with_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A base of the first batch and the batches after it, dumped without merging."""
     batches = _event_batches(spark, sf_dir)
-    base = open_base(spark, shared_folder(spark), BUCKETS)
+    base = _new_base(spark, scan_batches(spark, batches))
     base.merge(scan_batches(spark, batches, last="2024-01-01"))
     cells = base.with_deltas(scan_batches(spark, batches, first="2024-01-02"), EVENTS)
     return dump_table(cells, EVENTS, ["type", "event_id"], reconciled=True)
 
 
 def _event_base(spark: SparkSession, sf_dir: str, cells: DataFrame):
-    base = open_base(spark, shared_folder(spark), BUCKETS)
+    base = _new_base(spark, cells)
     base.merge(cells)
     return base
 

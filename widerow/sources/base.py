@@ -10,9 +10,9 @@ they are. A bucket is read, written beside the old one and then put in its place
 merge that ends early leaves whole buckets, old or new, and merging the same deltas again
 gives the same base. Merges of one base must not run at the same time.
 
-All cells of a row are in one bucket, that is one task. Buckets should hold about a
-gigabyte each. For a table with rows larger than that use ``compact``, whose ranges split
-rows.
+All cells of a row are in one bucket, that is one task, which sorts them, so the number of
+buckets must follow the size of the table: ``buckets_for`` tells it. For a table with rows
+larger than a bucket use ``compact``, whose ranges split rows.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ from .cell_table import picked
 
 _PLACE = ["keyspace", "cf", "bucket"]
 _LAYOUT = "_layout"  # hidden from readers of the table
+BUCKET_BYTES = 128 << 20  # of cells as rows in memory, in a bucket
+_MOST = 100_000  # buckets that Spark allows
+_CELL = 128  # bytes of a cell besides its texts
 
 
 @dataclass(frozen=True)
@@ -98,9 +101,18 @@ class CellBase:
             conf.set(mode, before)
 
 
+def buckets_for(cells: DataFrame, least: int = 1) -> int:
+    """How many buckets a base needs to hold so many cells, of which about
+    ``BUCKET_BYTES`` are in each. Reads the cells once."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in CELL_SCHEMA.fields
+             if f.dataType.simpleString() == "string"]
+    size = cells.agg(F.sum(sum(texts, F.lit(_CELL)).cast("long"))).first()[0] or 0
+    return min(_MOST, max(least, -(-size // BUCKET_BYTES)))
+
+
 def open_base(spark: SparkSession, path: str, buckets: int | None = None) -> CellBase:
-    """The base at a path. ``buckets`` is needed to make a new one, and can't be changed;
-    an existing one knows its own."""
+    """The base at a path. ``buckets`` (see ``buckets_for``) is needed to make a new one, and
+    can't be changed; an existing one knows its own."""
     path = _qualified(spark, path)
     known = _known_buckets(spark, path)
     if known is None:
