@@ -782,3 +782,34 @@ def test_many_items_are_one_scan(spark, monkeypatch):
     got = found.select("doc_id", "n_hit", "items").collect()
     assert len(got) == 10
     assert all(r["n_hit"] == 12 and r["items"] == [str(r["doc_id"])] for r in got)
+
+
+def test_index_leaves_light_words_to_bounds_and_is_exact():
+    rng = random.Random(2)
+
+    def vector():
+        raw = {10 + min(389, int(rng.expovariate(0.02))): 1.0 for _ in range(20)}
+        raw |= {rng.randrange(10): rng.random() for _ in range(4)}
+        raw |= {400 + rng.randrange(300): 0.02 for _ in range(30)}  # long lists, light
+        size = sum(x * x for x in raw.values()) ** 0.5
+        return {t: x / size for t, x in raw.items()}
+
+    vectors = [vector() for _ in range(3000)]
+    index = toxicity.Index(vectors)
+    assert (index.kind[400:] < -1).sum() > 100 and (index.kind[:10] >= 0).all()
+    read = sum(np.diff(index.lists))
+    assert read < 0.6 * sum(map(len, vectors))  # before, all but the common words had lists
+    queries = [vector() for _ in range(40)] + [{450: 1.0}, {10: 0.6, 405: 0.8}, {}]
+    as_arrays = [(np.array([*q], int), np.array([*q.values()], float)) for q in queries]
+    for query, got in zip(queries, index.search(as_arrays, 15)):
+        scores = (round(sum(w * v.get(t, 0.0) for t, w in query.items()), 9) for v in vectors)
+        best = sorted((s for s in scores if s > 0), reverse=True)[:15]
+        assert [s for s, _ in got] == pytest.approx(best, abs=1e-8)
+
+
+def test_words_are_those_of_the_pattern():
+    rng = random.Random(3)
+    odd = "aZ09 \t\n\x1c\x00._-'éÉßİ́²½Ⅷ漢字かе  \ud800😀‍٣"
+    texts = ["".join(rng.choices(odd, k=rng.randrange(30))) for _ in range(3000)] + ["", "a.b c"]
+    for text in texts:
+        assert toxicity.words_of(text) == toxicity._WORD.findall(text.lower())

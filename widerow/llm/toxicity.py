@@ -6,14 +6,14 @@ that depend on the label weigh more: with G the log-likelihood ratio of word and
 word's weight is (G / (G + ``DOUBT``))^2 and ``LEAST_WEIGHT`` on top, so that none is left
 out and long neutral texts aren't nearest to each other by chance.
 
-The index is inverted and block-max: examples alike in their heaviest words share a block,
-and of each word it knows the greatest weight in every block. Texts are looked up in
-batches. The few words that many examples hold are one product of matrices for a batch;
-its greatest entry per block and the other words' greatest weights bound what a block can
-score. The blocks with the greatest bounds are scored first, which gives a threshold, and
-of all other blocks whose bound is below it not one entry is read. In the rest, words that
-together can add little are left to their bounds, and the few examples that can still be
-among the best are scored exactly. The result is that of scoring all examples.
+Texts are looked up in batches. Words are of three kinds. The few that many examples hold
+are one product of matrices for a batch. Light ones, whose lists are long for the little
+they add to any vector, have no lists at all: how much they can add to a score is bounded
+by their length in the text times that in the example, band by band, which is a product of
+matrices, too. The others have inverted lists, which are read whole. The examples best by
+that give a threshold, those whose bound reaches it get their light words' sum, and the few
+that can still be among the best are scored exactly. The result is that of scoring all
+examples.
 
 Neighbours vote with weights that fall with their distance. A rising curve, fitted on the
 examples' own votes with each left out of its own, turns votes into the share of toxic
@@ -30,6 +30,7 @@ Columns of the input named like added ones are replaced.
 
 from __future__ import annotations
 
+import math
 import pickle
 import zlib
 from collections import Counter
@@ -51,22 +52,39 @@ MAX_ENTRIES = 12_000_000  # words of all examples' vectors
 DOUBT = 20.0  # log-likelihood ratio at which a word has a quarter of the full weight
 LEAST_WEIGHT = 0.01
 NEIGHBOURS = 15
-BLOCK = 256
+BLOCK = 256  # groups of examples, whose greatest scores give a threshold
 EVIDENCE = 3
 PRIOR = 1.0  # votes of the average example added to each vote
 _NEAREST = 0.05  # distances below count as this
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+_BREAKS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _HEADS = 8  # heaviest words by which examples are put in order
 _COMMON = 8  # words held by one example in so many have a whole row instead of a list
-_TOGETHER = 32  # texts looked up at once
-_SEEDS = 2  # blocks scored for the threshold
-_LITTLE = 0.1  # of the threshold: what the words left to their bounds may add
+_TOGETHER = 48  # texts looked up at once
+_LIGHT = 0.01  # of the vectors' squared lengths, in the mean: what light words may hold
+_SMALL = 1 << 18  # multiplications in a product
+_PIECE = 16  # examples in a product of matrices
+_FEW = 64  # vectors scored exactly at once
+_BANDS = 16  # of light words by the number of examples that hold them
 _SLACK = 1e-5  # above the rounding errors of sums in single precision
 _PARTS = 1024  # of the hashes' range, in which rows are cut to MAX_ENTRIES
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """``_WORD.findall(text.lower())``: cut where ASCII has no word, and by the pattern only
+    what other characters may cut."""
+    lower = text.lower()
+    raw = lower.encode("utf-8", "surrogatepass").translate(_BREAKS)
+    parts = raw.decode("utf-8", "surrogatepass").split()
+    if lower.isascii():
+        return parts
+    words = []
+    for part in parts:
+        if part.isalnum():
+            words.append(part)
+        else:
+            words += _WORD.findall(part)
+    return words
 
 
 def _spans(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +95,8 @@ def _spans(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def head_order(starts, terms, weights) -> np.ndarray:
-    """The vectors' order in the index: those alike in their heaviest terms share blocks,
-    so that bounds are tight."""
+    """The vectors' order in the index: by their heaviest terms. Of equal neighbours the
+    first in it is taken."""
     n = len(starts) - 1
     rows = np.repeat(np.arange(n), np.diff(starts))
     by = np.lexsort((terms, -weights, rows))
@@ -90,7 +108,7 @@ def head_order(starts, terms, weights) -> np.ndarray:
 
 
 class Index:
-    """A block-max inverted index of unit vectors {term: weight}."""
+    """An inverted index of unit vectors {term: weight}, with bounds for light terms."""
 
     def __init__(self, vectors: list[dict[int, float]], block: int = BLOCK):
         starts = np.cumsum([0, *map(len, vectors)])
@@ -116,31 +134,40 @@ class Index:
         self.ids, self.place = ids, np.argsort(ids)
         self.starts, self.terms, self.weights = starts, terms.astype(np.int32), weights
         rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
-        by = np.argsort(self.terms, kind="stable")
-        held, rows, weights = self.terms[by], rows[by], weights[by]
-        number = np.bincount(held, minlength=self.size)
-        common = np.flatnonzero(number * _COMMON > n)
-        self.row_of = np.full(self.size, -1)
-        self.row_of[common] = np.arange(len(common))
-        self.n_blocks = -(-n // block)
-        self.rows = np.zeros((len(common), self.n_blocks * block), np.float32)
-        at = self.row_of[held]
-        self.rows[at[at >= 0], rows[at >= 0]] = weights[at >= 0]
-        held, rows, weights = held[at < 0], rows[at < 0], weights[at < 0]
-        # The lists of the other words: their entries, of a word and a block each, and
-        # the examples of every entry.
-        new = np.ones(len(held), bool)
-        new[1:] = (held[1:] != held[:-1]) | (rows[1:] // block != rows[:-1] // block)
-        first = np.flatnonzero(new)
-        self.places, self.posted = rows.astype(np.int32), weights.astype(np.float32)
-        self.lists = np.searchsorted(held[first], np.arange(self.size + 1))
-        self.entries = np.append(first, len(held)).astype(np.int32)  # MAX_ENTRIES
-        self.blocks = (rows[first] // block).astype(np.int32)
-        self.greatest = np.maximum.reduceat(self.posted, first) if len(first) else self.posted
-        self.most = np.zeros(self.size)
-        held = np.flatnonzero(np.diff(self.lists))
-        if len(held):
-            self.most[held] = np.maximum.reduceat(self.greatest, self.lists[held])
+        number = np.bincount(self.terms, minlength=self.size)
+        mass = np.bincount(self.terms, weights * weights, self.size)
+        common = number * _COMMON > n
+        light = _light_terms(number, mass, ~common & (number > 0), n)
+        step = math.lcm(block, _PIECE)
+        width = -(-n // step) * step
+        # A common term's row, a light one's band below -1, and -1 for one with a list.
+        self.kind = np.full(self.size, -1, np.int32)
+        self.kind[common] = np.arange(common.sum())
+        self.kind[light] = -2 - np.minimum(_BANDS - 1, np.log2(number[light]).astype(int))
+        kind = self.kind[self.terms]
+        own = np.flatnonzero(kind >= 0)
+        at = rows[own]
+        self.rows = np.zeros((width // _PIECE, common.sum(), _PIECE), np.float32)
+        self.rows[at // _PIECE, kind[own], at % _PIECE] = weights[own]
+        # Of light terms: every vector's own, and its length by band.
+        own = np.flatnonzero(kind < -1)
+        at, band = rows[own], -2 - kind[own]
+        self.light_starts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
+        self.light_terms, self.light_weights = self.terms[own], weights[own].astype(np.float32)
+        self.lengths = np.zeros((width // _PIECE, _BANDS, _PIECE), np.float32)
+        for b in range(_BANDS):
+            here = band == b
+            squared = np.bincount(at[here], weights[own[here]] ** 2, width)
+            self.lengths[:, b] = np.sqrt(squared).reshape(-1, _PIECE)
+        # The lists of all other terms, a place and a weight's bits each.
+        own = np.flatnonzero(kind == -1)
+        del kind
+        own = own[np.argsort(self.terms[own], kind="stable")]
+        posts = np.empty((len(own), 2), np.int32)
+        posts[:, 0] = rows[own]
+        posts.view(np.float32)[:, 1] = weights[own]
+        self.posts = posts.view(np.int64).ravel()
+        self.lists = np.concatenate([[0], np.cumsum(np.where(self.kind == -1, number, 0))])
         self._dense = np.zeros(self.size)
 
     def nearest(
@@ -168,64 +195,90 @@ class Index:
         return out
 
     def _batch(self, queries, k, without):
-        common = np.zeros((len(queries), len(self.rows)), np.float32)
+        common = np.zeros((len(queries), self.rows.shape[1]), np.float32)
+        light = np.zeros((len(queries), _BANDS), np.float32)
+        lists = []
         for i, (terms, weights) in enumerate(queries):
-            row = self.row_of[terms]
-            common[i, row[row >= 0]] = weights[row >= 0]
-        scores = common @ self.rows
+            kind = self.kind[terms]
+            common[i, kind[kind >= 0]] = weights[kind >= 0]
+            here = kind < -1
+            light[i] = np.sqrt(np.bincount(-2 - kind[here], weights[here] ** 2, _BANDS))
+            lists.append((terms[kind == -1], weights[kind == -1]))
+        scores = _product(common, self.rows)
         scores[:, len(self.ids) :] = -np.inf  # places that fill the last block
         if without is not None:
             scores[np.arange(len(queries)), self.place[without]] = -np.inf
-        bounds = scores.reshape(len(queries), self.n_blocks, self.block).max(2)
-        return [self._one(*q, s, b, k) for q, s, b in zip(queries, scores, bounds)]
-
-    def _one(self, terms, weights, scores, bounds, k):
-        rare = self.row_of[terms] < 0
-        rare, by = terms[rare], weights[rare]
-        entries, sizes = _spans(self.lists, rare)
-        weight = np.repeat(by, sizes)
-        block = self.blocks[entries]
-        greatest = weight * self.greatest[entries]
-        bounds = bounds + np.bincount(block, greatest, self.n_blocks)
-        # Blocks with the greatest bounds are scored whole, for a threshold.
-        seeds = np.zeros(self.n_blocks, bool)
-        seeds[np.argsort(-bounds)[:_SEEDS]] = True
-        self._add(scores, entries, weight, seeds[block])
-        by_block = scores.reshape(self.n_blocks, self.block)
-        worst = _kth(by_block[seeds].ravel(), k)
-        # In the other blocks that can reach it, words that together add little are left
-        # to their bounds.
-        open_ = ~seeds & (bounds > 0) & (bounds >= worst - _SLACK)
-        if open_.any():
-            most = by * self.most[rare]
-            order = np.argsort(most)
-            little = np.empty(len(rare), bool)
-            little[order] = np.cumsum(most[order]) <= _LITTLE * worst
-            little = np.repeat(little, sizes)
-            here = open_[block]
-            self._add(scores, entries, weight, here & ~little)
-            left = np.bincount(block[here & little], greatest[here & little], self.n_blocks)
-            worst = max(worst, _kth(by_block[seeds | open_].ravel(), k))
-            by_block += left[:, None].astype(np.float32)
-        able = np.flatnonzero(
-            np.repeat(seeds | open_, self.block) & (scores > 0) & (scores >= worst - _SLACK)
-        )
-        found, sizes = _spans(self.starts, able)
+        able = _product(light, self.lengths)  # what light terms can add
+        return [self._one(*one, k) for one in zip(queries, lists, scores, able)]
+
+    def _one(self, query, listed, scores, able, k):
+        (terms, weights), (at, by) = query, listed
+        first, last = self.lists[at], self.lists[at + 1]
+        if len(at):
+            posts = self.posts
+            posts = np.concatenate([posts[i:j] for i, j in zip(first.tolist(), last.tolist())])
+            posts = posts.view(np.int32).reshape(-1, 2)
+            added = np.repeat(by, last - first) * posts.view(np.float32)[:, 1]
+            scores += np.bincount(posts[:, 0], added, len(scores))
         dense = self._dense
         dense[terms] = weights
-        rows = np.repeat(np.arange(len(able)), sizes)
-        exact = np.bincount(rows, dense[self.terms[found]] * self.weights[found], len(able))
+        # The k-th of the greatest of so many groups is a threshold.
+        worst = _kth(scores.reshape(-1, self.block).max(0, initial=-np.inf), k)
+        able += scores
+        best, exact = np.empty(0, int), np.empty(0)
+        if worst > 0:
+            best = np.flatnonzero(scores >= worst)
+            exact = self._exact(best)
+            worst = max(worst, _kth(exact, k))
+            able[best] = 0.0
+        able = np.flatnonzero((able > 0) & (able >= worst - _SLACK))
+        if len(able) > _FEW:
+            whole = scores[able] + self._light(able)
+            worst = max(worst, _kth(whole, k))
+            able = able[(whole > 0) & (whole >= worst - _SLACK)]
+        exact = np.concatenate([exact, self._exact(able)])
+        able = np.concatenate([best, able])
         dense[terms] = 0.0
         able, exact = able[exact > 0], np.round(exact[exact > 0], 9)
         best = np.lexsort((able, -exact))[:k]
         return [(float(s), int(p)) for s, p in zip(exact[best], self.ids[able[best]])]
 
-    def _add(self, scores, entries, weight, chosen) -> None:
-        """Adds what the chosen entries of words hold to the scores."""
-        at = np.flatnonzero(chosen)
-        found, sizes = _spans(self.entries, entries[at])
-        added = np.repeat(weight[at], sizes) * self.posted[found]
-        scores += np.bincount(self.places[found], added, len(scores)).astype(np.float32)
+    def _exact(self, vectors: np.ndarray) -> np.ndarray:
+        """The scores of vectors; the query is in ``_dense``."""
+        dense, terms, weights, starts = self._dense, self.terms, self.weights, self.starts
+        spans = zip(starts[vectors].tolist(), starts[vectors + 1].tolist())
+        return np.array([dense[terms[i:j]] @ weights[i:j] for i, j in spans], float)
+
+    def _light(self, vectors: np.ndarray) -> np.ndarray:
+        """What light terms add to the scores of vectors; the query is in ``_dense``."""
+        found, sizes = _spans(self.light_starts, vectors)
+        rows = np.repeat(np.arange(len(vectors)), sizes)
+        added = self._dense[self.light_terms[found]] * self.light_weights[found]
+        return np.bincount(rows, added, len(vectors))
+
+
+def _product(left: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """The product of ``left`` and a matrix cut into ``_PIECE`` columns each. Small products don't make the
+    library start threads, which would take other tasks' cores and wait busily."""
+    n, inner, _ = pieces.shape
+    out = np.empty((len(left), n * _PIECE), np.float32)
+    into = out.reshape(len(left), n, _PIECE).transpose(1, 0, 2)
+    step = max(1, _SMALL // (_PIECE * max(1, inner)))
+    for start in range(0, len(left), step):
+        some = slice(start, start + step)
+        np.matmul(left[some], pieces, out=into[:, some])
+    return out
+
+
+def _light_terms(number, mass, able: np.ndarray, n: int) -> np.ndarray:
+    """Which of the ``able`` terms are light: those that add least for the length of their
+    lists, as many as hold ``_LIGHT`` of the vectors' squared lengths together. ``number``
+    and ``mass`` are each term's vectors and squared weights."""
+    at = np.flatnonzero(able)
+    at = at[np.argsort(mass[at] / number[at].astype(float) ** 2, kind="stable")]
+    light = np.zeros(len(able), bool)
+    light[at[np.cumsum(mass[at]) <= _LIGHT * n]] = True
+    return light
 
 
 def _kth(scores: np.ndarray, k: int) -> float:
@@ -260,8 +313,9 @@ class Model:
                 names, weights, unknown, ids, order, starts, terms, counts = made
                 raw = raw_weights(counts) * weights[terms]
                 sizes = np.diff(starts)
-                of = np.repeat(np.arange(len(ids)), sizes)
-                raw /= np.sqrt(np.bincount(of, raw * raw, len(ids)))[of]
+                of = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+                raw /= np.repeat(np.sqrt(np.bincount(of, raw * raw, len(ids))), sizes)
+                del made, counts, of, sizes
                 index = Index.ordered(order, starts, terms, raw)
                 words = {t: k for k, t in enumerate(names)}
                 _MADE.update(key=self.key, all=(words, weights, unknown, ids, index))
@@ -272,10 +326,12 @@ class Model:
         names = ("labels", "average", "at", "to", "parts", "key")
         return {k: self.__dict__[k] for k in names}
 
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(
+        self, counts: dict[str, int], number: dict[str, int]
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The text's words among the examples' and their weights, at length 1 together
-        with the words that no example holds."""
-        at = np.fromiter((self.terms.get(w, -1) for w in counts), np.int64, len(counts))
+        with the words that no example holds, whose ``number`` is -1."""
+        at = np.fromiter(map(number.__getitem__, counts), np.int64, len(counts))
         raw = raw_weights(np.fromiter(counts.values(), float, len(counts)))
         raw *= np.where(at >= 0, self.weights[at], self.unknown) if len(self.terms) else 1.0
         size = np.sqrt((raw * raw).sum())
@@ -286,7 +342,9 @@ class Model:
         if not self.terms:
             return [[] for _ in texts]
         none = (np.empty(0, np.int64), np.empty(0))
-        return self.index.search([self.vector(c) if c else none for c in texts], NEIGHBOURS)
+        number = {w: self.terms.get(w, -1) for w in set().union(*texts)}
+        queries = [self.vector(c, number) if c else none for c in texts]
+        return self.index.search(queries, NEIGHBOURS)
 
     def near_examples(self, places: list[int]) -> list[list[tuple[float, int]]]:
         """The neighbours of examples, but for themselves."""
@@ -417,9 +475,14 @@ def fit(
     order = head_order(starts, terms, raw_weights(counts) * weights[terms])
     found, sizes = _spans(starts, order)
     starts = np.concatenate([[0], np.cumsum(sizes)])
+    # Words that many examples hold come first, so that what is often read lies together.
+    first = np.argsort(-held, kind="stable")
+    number = np.empty(len(names), np.int32)
+    number[first] = np.arange(len(names))
+    names = [names[i] for i in first.tolist()]
     model = Model(
-        names, weights, unknown, ids, label.tolist(), order, starts, terms[found],
-        counts[found],
+        names, weights[first], unknown, ids, label.tolist(), order, starts,
+        number[terms[found]], counts[found],
     )
     model.broadcast(docs.sparkSession)
     votes = _own_votes(docs.sparkSession, model, n)
